@@ -30,11 +30,8 @@ def level_for(radius_deg: float) -> int:
 
 
 def _spread(c: Column) -> Column:
-    """The bits of a number below 2**24, each followed by a zero bit."""
-    x = c.cast("bigint")
-    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
-        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
-    return x
+    """The bits of a number, each followed by a zero bit: its binary digits read as digits to base four."""
+    return F.conv(F.bin(c), 4, 10).cast("bigint")
 
 
 def cell_code(face: Column, i: Column, j: Column) -> Column:
@@ -46,14 +43,20 @@ def _step(angle: Column, level: int) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(n - 1), F.floor((angle / QUARTER + 1) * (n / 2)).cast("int")))
 
 
+def _faces(xyz: tuple[Column, Column, Column]) -> Column:
+    """The point as every face sees it: how far ahead it lies and where across."""
+    return F.array(*(F.struct(F.lit(f).alias("face"), (xyz[axis] * sign).alias("ahead"), xyz[a].alias("a"), xyz[b].alias("b")) for f, (axis, sign, a, b) in enumerate(FACES)))
+
+
 def point_cell(xyz: tuple[Column, Column, Column], level: int) -> Column:
-    """The code of the cell that holds a point."""
-    size = [F.abs(c) for c in xyz]
-    code = F.lit(None).cast("bigint")
-    for f, (axis, sign, a, b) in reversed(list(enumerate(FACES))):
-        on = (size[axis] >= F.greatest(size[a], size[b])) & (xyz[axis] * sign > 0)
-        code = F.when(on, cell_code(F.lit(f), _step(F.atan2(xyz[a], xyz[axis] * sign), level), _step(F.atan2(xyz[b], xyz[axis] * sign), level))).otherwise(code)
-    return code
+    """The code of the cell that holds a point, on the first face that it lies most ahead of."""
+    own = F.filter(_faces(xyz), lambda f: f.ahead >= F.greatest(*(F.abs(c) for c in xyz)))
+    codes = F.transform(own, lambda f: cell_code(f.face, _step(F.atan2(f.a, f.ahead), level), _step(F.atan2(f.b, f.ahead), level)))
+    return F.get(codes, F.lit(0))
+
+
+def _half(across: Column, ahead: Column, r: float) -> Column:
+    return F.asin(F.least(F.lit(1.0), F.lit(math.sin(r)) / F.sqrt(across * across + ahead * ahead)))
 
 
 def _grid(face: Column, rows: Column, columns: Column) -> Column:
@@ -67,18 +70,11 @@ def disc_cells(xyz: tuple[Column, Column, Column], radius_deg: float, level: int
     asin(sin r / h), h being the length of the point's projection on the plane of that angle.
     """
     r = math.radians(radius_deg) * (1 + 1e-9) + 1e-12
-    covers = []
-    for f, (axis, sign, a, b) in enumerate(FACES):
-        ahead = xyz[axis] * sign
-        spans = []
-        for across in (a, b):
-            h = F.sqrt(xyz[across] * xyz[across] + ahead * ahead)
-            mid, half = F.atan2(xyz[across], ahead), F.asin(F.least(F.lit(1.0), F.lit(math.sin(r)) / F.greatest(h, F.lit(1e-300))))
-            spans.append((mid - half, mid + half))
-        meets = (ahead > 0) & (spans[0][0] <= QUARTER) & (spans[0][1] >= -QUARTER) & (spans[1][0] <= QUARTER) & (spans[1][1] >= -QUARTER)
-        steps = [F.sequence(_step(lo, level), _step(hi, level)) for lo, hi in spans]
-        covers.append(F.when(meets, _grid(F.lit(f), *steps)).otherwise(F.array().cast("array<bigint>")))
-    return F.array_distinct(F.concat(*covers))
+    ahead_of = F.filter(_faces(xyz), lambda f: f.ahead > 0)
+    spans = F.transform(ahead_of, lambda f: F.struct(f.face.alias("face"), F.atan2(f.a, f.ahead).alias("a"), _half(f.a, f.ahead, r).alias("da"), F.atan2(f.b, f.ahead).alias("b"), _half(f.b, f.ahead, r).alias("db")))
+    met = F.filter(spans, lambda s: (F.abs(s.a) - s.da <= QUARTER) & (F.abs(s.b) - s.db <= QUARTER))
+    cells = F.transform(met, lambda s: _grid(s.face, F.sequence(_step(s.a - s.da, level), _step(s.a + s.da, level)), F.sequence(_step(s.b - s.db, level), _step(s.b + s.db, level))))
+    return F.array_distinct(F.flatten(cells))
 
 
 def separation_deg(ra1: Column, dec1: Column, ra2: Column, dec2: Column) -> Column:
