@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions.scalars import digest_text, epoch_micros
-from skyloom.operators import history, rejects, skyjoin, snapshots, treeagg
+from skyloom.operators import history, rejects, skyjoin, snapshots, spikes, treeagg
 from skyloom.session import load
 
 HEAVY_SHARE = 0.04
@@ -44,6 +44,20 @@ def p1_targets(spark: SparkSession, d: str) -> DataFrame:
     return out.select("source_id", "n_rows", "n_retirements", F.col("latest.o1").alias("latest_pk"), F.col("latest.row_hash").alias("latest_hash"), F.col("latest.active").alias("latest_active"))
 
 
+def _measurements(spark: SparkSession, d: str) -> DataFrame:
+    t = load(spark, d, "measurements")
+    return t.withColumn("created_us", epoch_micros(t, "created_at"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return spikes.score_readings(_measurements(spark, d), flagged_only=True).select("measurement_id", "field_name").distinct()
+
+
+def p2_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Every reading with its score, and the reason for the wrong ones."""
+    return spikes.score_readings(_measurements(spark, d))
+
+
 def _product_intervals(spark: SparkSession, d: str) -> DataFrame:
     t = load(spark, d, "discovery_products")
     state = {"row_hash": digest_text("row_hash"), "processing_version": F.col("processing_version")}
@@ -83,7 +97,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return h.select(F.col("key").alias("source_id"), F.col("value").alias("row_hash"), history.whole_seconds(F.col("valid_from")).alias("valid_from_s"), F.coalesce(history.whole_seconds(F.col("valid_to")), F.lit(-1)).cast("bigint").alias("valid_to_s"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_observations, p1_targets, p3_found, p3_intervals, p4_found, p5_found, p5_rows, p6_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_observations, p1_targets, p2_found, p2_scores, p3_found, p3_intervals, p4_found, p5_found, p5_rows, p6_found)}
 
 _TRIM = "lower(trim({}, chr(32)||chr(9)||chr(10)||chr(13)||chr(11)||chr(12)))"
 
