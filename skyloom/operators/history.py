@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skyloom.session import cut_lineage
+
 CLOSED = "closed"
 DAY = 86_400_000_000
 
@@ -74,7 +76,7 @@ def differing_leaves(leaves: DataFrame, depth: int, fanout: int) -> DataFrame:
 
 def changed_entities(entries: DataFrame, depth: int, fanout: int) -> DataFrame:
     """``key, cut, before`` of the entities whose state differs between the snapshots around a cut."""
-    leaves = differing_leaves(merkle_leaves(entries), depth, fanout).withColumnRenamed("node", "bucket")
+    leaves = differing_leaves(cut_lineage(merkle_leaves(entries)), depth, fanout).withColumnRenamed("node", "bucket")
     return entries.join(leaves, ["cut", "bucket"], "left_semi").filter("before is null or was != became or was2 != became2").select("key", "cut", "before")
 
 
@@ -87,7 +89,8 @@ def entity_history(log: DataFrame, period_us: int = DAY, depth: int = 3, fanout:
     own. Rows without key or t belong to no history; late rows and repeated ones change nothing, since the log is taken
     by time. A value that returns opens a new version. An empty log has no versions.
     """
-    runs = _runs(log.select("key", "t", "tie", "value", "closed_at").filter("key is not null and t is not null"), period_us)
+    # both are far smaller than the log, and every level of the trees reads them again
+    runs = cut_lineage(_runs(log.select("key", "t", "tie", "value", "closed_at").filter("key is not null and t is not null"), period_us))
     changed = changed_entities(snapshot_entries(runs, fanout**depth), depth, fanout)
     # new versions of the changed entities; a first run that only goes on from the period before is none
     new = runs.join(changed, ["key", "cut"]).filter(~((F.col("run") == 1) & F.col("before").eqNullSafe(F.col("state"))))
