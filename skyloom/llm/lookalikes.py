@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.session import cut_lineage
+
 # Letters of other scripts beside the Latin letters they look like.
 LOOKALIKES = {
     # Cyrillic
@@ -73,7 +75,7 @@ def check_mapping(mapping: dict[str, str]) -> None:
         for c in {form, *form}:
             if c in mapping and mapping[c] != c:
                 raise ValueError(f"the form of {key!r} is mapped again: {form!r}")
-        if any(unicodedata.combining(x) for x in key) and not any(unicodedata.combining(x) for x in unicodedata.normalize("NFD", form)):
+        if [x for x in unicodedata.normalize("NFD", key) if unicodedata.combining(x)] != [x for x in unicodedata.normalize("NFD", form) if unicodedata.combining(x)]:
             raise ValueError(f"an accent is lost: {key!r}")
         if _ROOMLESS.search(form):
             raise ValueError(f"a form holds characters without room: {key!r}")
@@ -88,11 +90,14 @@ class Transducer:
         marks = "".join(map(re.escape, _marks()))
         singles = "".join(re.escape(k) for k in self.mapping if len(k) == 1)
         # longest match: a base with all that follows it, else Hangul letters in parts, else a mapped character, else room-less ones
-        self.pattern = re.compile(f"[^{marks}{ROOMLESS}][{ROOMLESS}]*[{marks}][{marks}{ROOMLESS}]*|[\u1100-\u1112][\u1161-\u1175][\u11a8-\u11c2]?|[{singles}]|[{ROOMLESS}]+")
+        gap, hangul = f"[{ROOMLESS}]*", ("[ᄀ-ᄒ]", "[ᅡ-ᅵ]", "[ᆨ-ᇂ]")
+        parts = f"{hangul[0]}{gap}{hangul[1]}(?:{gap}{hangul[2]})?|[가-힣]{gap}{hangul[2]}"
+        self.pattern = re.compile(f"[^{marks}{ROOMLESS}]?{gap}[{marks}][{marks}{ROOMLESS}]*|{parts}|[{singles}]|[{ROOMLESS}]+")
         self.memo: dict[str, str] = dict(self.mapping)
 
     def __call__(self, text: str) -> str:
-        return text if text.isascii() else self.pattern.sub(self._replace, text)
+        # composing what is left joins the few letters that are written as two bases
+        return text if text.isascii() else unicodedata.normalize("NFC", self.pattern.sub(self._replace, text))
 
     def _replace(self, match: re.Match) -> str:
         cluster = match.group()
@@ -152,7 +157,8 @@ def lookalike_pairs(docs: DataFrame, salts: int = 8) -> DataFrame:
     however often each is copied, and only then spread to the documents that hold them; so copies of one text never
     meet each other, and the work beyond reading is in proportion to the pairs that come out.
     """
-    held = docs.select("doc_id", "text").filter("doc_id is not null and text is not null").mapInArrow(_digests, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, form binary, raw binary")
+    # two digests a document stand for the texts from here on, which are read and mapped once
+    held = cut_lineage(docs.select("doc_id", "text").filter("doc_id is not null and text is not null").mapInArrow(_digests, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, form binary, raw binary"))
     texts = held.select("form", "raw").distinct()
     several = texts.groupBy("form").count().filter("count > 1").select("form")
     texts = texts.join(several, "form", "left_semi")
