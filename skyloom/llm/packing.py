@@ -16,10 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from skyloom.session import cut_lineage
 
-STATE = "block int, island int, sizes array<int>, population array<array<int>>"
+STATE = "block int, island int, sizes array<int>, population array<array<int>>, fit double"
 
 
 def pieces(sizes: DataFrame, capacity: int) -> DataFrame:
@@ -111,7 +112,7 @@ def _start(sizes: np.ndarray, capacity: int, individuals: int, seed: tuple[int,
 def _epoch(capacity: int, individuals: int, generations: int, epoch: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {k: [] for k in ("block", "island", "sizes", "population")}
+            out = {k: [] for k in ("block", "island", "sizes", "population", "fit")}
             for row in batch.to_pylist():
                 sizes = np.array(row["sizes"], np.int64)
                 seed = (row["block"], row["island"], epoch)
@@ -119,16 +120,16 @@ def _epoch(capacity: int, individuals: int, generations: int, epoch: int) -> Cal
                 if row.get("guest") is not None:
                     people[-1] = np.array(row["guest"], np.int64)
                 people = evolve(people, sizes, capacity, generations, seed)
-                for k, v in (("block", row["block"]), ("island", row["island"]), ("sizes", row["sizes"]), ("population", [p.tolist() for p in people])):
+                for k, v in (("block", row["block"]), ("island", row["island"]), ("sizes", row["sizes"]), ("population", [p.tolist() for p in people]), ("fit", fitness(people[0], sizes, capacity))):
                     out[k].append(v)
-            types = {"block": pa.int32(), "island": pa.int32(), "sizes": pa.list_(pa.int32()), "population": pa.list_(pa.list_(pa.int32()))}
+            types = {"block": pa.int32(), "island": pa.int32(), "sizes": pa.list_(pa.int32()), "population": pa.list_(pa.list_(pa.int32())), "fit": pa.float64()}
             yield pa.RecordBatch.from_pydict({k: pa.array(v, types[k]) for k, v in out.items()})
 
     return run
 
 
 def _pack_blocks(items: DataFrame, blocks: int, capacity: int, salt: int, islands: int, individuals: int, epochs: int, generations: int) -> DataFrame:
-    """``doc_id, part, start, size, block, bin, used``: each item's bin in its block's best solution."""
+    """``doc_id, part, start, size, block, bin, used, best, middle``: each item's bin in its block's best solution, its fill, and the best and the median fill of the block's bins."""
     dealt = items.withColumn("block", F.pmod(F.xxhash64("doc_id", "part", F.lit(salt)), F.lit(blocks)).cast("int"))
     members = cut_lineage(dealt.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("size", "doc_id", "part", "start"))).alias("items")))
     state = members.select("block", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), F.col("items.size").alias("sizes"), F.lit(None).cast("array<array<int>>").alias("population"), F.lit(None).cast("array<int>").alias("guest"))
@@ -138,11 +139,12 @@ def _pack_blocks(items: DataFrame, blocks: int, capacity: int, salt: int, island
         if epoch + 1 < epochs:
             elite = state.select("block", F.pmod(F.col("island") + 1, F.lit(islands)).cast("int").alias("island"), F.col("population")[0].alias("guest"))
             state = state.join(elite, ["block", "island"])
-    score = lambda p, s: F.size(F.array_distinct(p))
-    best = state.select("block", "island", F.col("population")[0].alias("bins")).groupBy("block").agg(F.min_by("bins", F.struct(score(F.col("bins"), None), "island")).alias("bins"))
+    # of the islands' best solutions the one with the fewest bins, then with the fullest
+    best = state.select("block", "island", "fit", F.col("population")[0].alias("bins")).groupBy("block").agg(F.max_by("bins", F.struct(-F.array_max("bins"), F.col("fit"), F.col("island"))).alias("bins"))
     flat = members.join(best, "block").select("block", F.explode(F.arrays_zip("items", "bins")).alias("x")).select("block", F.col("x.bins").alias("bin"), "x.items.*")
     used = flat.groupBy("block", "bin").agg(F.sum("size").alias("used"))
-    return flat.join(used, ["block", "bin"])
+    bins = Window.partitionBy("block")
+    return flat.join(used.withColumn("best", F.max("used").over(bins)).withColumn("middle", F.median("used").over(bins)), ["block", "bin"])
 
 
 def pack(
@@ -153,8 +155,7 @@ def pack(
     No container holds more than the capacity. Only an item above it is split, into parts that fill containers and a
     rest; parts are numbered from 0 and start where the one before ends. Items of size 0 (empty and null texts) get a
     container too. Rows repeated exactly count once; rows of one doc_id with other sizes are items of their own. An
-    empty table has no rows. Rounds end when one block is left, or when opening poorly filled bins no longer shrinks
-    the work.
+    empty table has no rows. Every round leaves at most about half of the items for the next, until one block is left.
     """
     items = cut_lineage(pieces(sizes.select("doc_id", F.greatest(F.coalesce("n_tokens", F.lit(0)), F.lit(0)).alias("n_tokens")).distinct(), capacity))
     whole = items.filter(F.col("size") == capacity)
@@ -167,10 +168,11 @@ def pack(
         blocks = -(-n // block_items)
         packed = cut_lineage(_pack_blocks(rest, blocks, capacity, round_no, islands, individuals, epochs, generations))
         name = F.concat_ws("-", F.lit(f"r{round_no}"), "block", "bin").alias("container_id")
-        if blocks == 1 or (left is not None and n > left // 2):
+        if blocks == 1:
             done.append(packed.select("doc_id", "part", "start", "size", name))
             break
-        kept = F.col("used") >= full * capacity
+        # bins as full as the block's best stay; where sizes forbid that for most bins, the better half does, so that rounds go on shrinking
+        kept = F.col("used") >= (F.col("middle") if left is not None and n > left // 2 else full * F.col("best"))
         done.append(packed.filter(kept).select("doc_id", "part", "start", "size", name))
         rest, left, round_no = packed.filter(~kept).select("doc_id", "part", "start", "size"), n, round_no + 1
     out = done[0]
