@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions.forest import forest_scores
+from skyloom.session import cut_lineage
 
 FIELDS = ("point_flux_uJy", "wavelength_um", "chi2_reduced")
 WAVELENGTHS = (0.7, 5.1)
@@ -29,6 +30,7 @@ FROZEN = 5  # readings in a row
 SCATTERS = 10.0
 LEAST = 20  # distinct readings of a source
 TERMS = 5  # of the curve over wavelength
+BROADCAST_ROWS = 50_000  # of large sources, about 10 MB with their fits
 FIT = "source_id string, block int, n bigint, n_flux bigint, coef array<double>, var_flux double, n_chi2 bigint, mean_chi2 double, var_chi2 double"
 SCORES = "measurement_id string, source_id string, field_name string, value double, score double, scatters double, reason string"
 
@@ -281,6 +283,13 @@ def _scorer(flagged_only: bool) -> Callable:
     return score
 
 
+def _sized(large: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The list of large sources, and a broadcast for tables of a row each where they are few; else those stay plain joins."""
+    kept = cut_lineage(large)
+    few = kept.count() <= BROADCAST_ROWS
+    return kept, (lambda df: F.broadcast(df)) if few else (lambda df: df)
+
+
 def score_readings(m: DataFrame, block_rows: int = 4096, flagged_only: bool = False) -> DataFrame:
     """SCORES rows: every not-null reading of FIELDS with its forest score, its distance from the usual in scatters, and the reason it is wrong.
 
@@ -293,7 +302,8 @@ def score_readings(m: DataFrame, block_rows: int = 4096, flagged_only: bool = Fa
     """
     rows = m.select("measurement_id", "source_id", "photometry_run_id", F.col("created_us").cast("bigint").alias("created_us"), *(F.col(f).cast("double").alias(f) for f in FIELDS))
     large = rows.filter("source_id is not null").groupBy("source_id").count().filter(F.col("count") > block_rows).select("source_id", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks"))
-    blocked = rows.join(large, "source_id", "left").withColumn("block", F.when(F.col("source_id").isNull(), F.pmod(F.xxhash64("measurement_id"), F.lit(64))).otherwise(F.pmod(F.xxhash64("photometry_run_id"), F.coalesce("blocks", F.lit(1)))).cast("int"))
+    large, small_enough = _sized(large)
+    blocked = rows.join(small_enough(large), "source_id", "left").withColumn("block", F.when(F.col("source_id").isNull(), F.pmod(F.xxhash64("measurement_id"), F.lit(64))).otherwise(F.pmod(F.xxhash64("photometry_run_id"), F.coalesce("blocks", F.lit(1)))).cast("int"))
     order = ["source_id", "block", "photometry_run_id", "created_us", "measurement_id"]
     cols = [*order, *FIELDS]
     fits = blocked.filter("blocks > 1").select(*cols).repartition("source_id", "block").sortWithinPartitions(*order).mapInArrow(_fit_batches, FIT)
@@ -302,5 +312,5 @@ def score_readings(m: DataFrame, block_rows: int = 4096, flagged_only: bool = Fa
         F.sum("n").alias("n_source"), F.array(*(F.sum(F.col("coef")[i] * F.col("n_flux")) / F.greatest(F.sum("n_flux"), F.lit(1)) for i in range(TERMS))).alias("coef"),
         mean("var_flux", "n_flux").alias("var_flux"), mean("mean_chi2", "n_chi2").alias("mean_chi2"), mean("var_chi2", "n_chi2").alias("var_chi2"),
     )
-    with_fit = blocked.join(merged, "source_id", "left").select(*cols, "n_source", "coef", "var_flux", "mean_chi2", "var_chi2", F.xxhash64("source_id", "block").alias("seed"))
+    with_fit = blocked.join(small_enough(merged), "source_id", "left").select(*cols, "n_source", "coef", "var_flux", "mean_chi2", "var_chi2", F.xxhash64("source_id", "block").alias("seed"))
     return with_fit.repartition("source_id", "block").sortWithinPartitions(*order).mapInArrow(_scorer(flagged_only), SCORES)
