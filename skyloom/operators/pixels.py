@@ -59,13 +59,17 @@ def gaussian_template(x0: Column | float, y0: Column | float, sigma: float = 1.2
     return bump / F.sum(bump).over(_image())
 
 
-def footprint(template: str, threshold: float) -> Column:
-    """Pixels where a template reaches a share of its peak; none where it has no positive peak."""
+def footprint_in(template: str, threshold: float, keys: Sequence[str]) -> Column:
+    """Pixels where a template reaches a share of its peak among rows of equal keys; none where it has no positive peak."""
     clean = F.coalesce(F.nanvl(F.col(template), F.lit(0.0)), F.lit(0.0))
-    peak = F.max(clean).over(_image())
+    peak = F.max(clean).over(Window.partitionBy(*keys))
     return (peak > 0) & (clean >= peak * threshold)
 
 
+def footprint(template: str, threshold: float) -> Column:
+    return footprint_in(template, threshold, ["image_id"])
+
+
 def dilate(pixels: DataFrame, mask: str, radius: int, out: str) -> DataFrame:
     """``out``: pixels within a square of the radius around a masked one.
 

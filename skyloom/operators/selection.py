@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-THRESHOLD = 5.0
+THRESHOLD = 3.0
 
 
 def detection_status(flux: Column, err: Column, threshold: float = THRESHOLD) -> Column:

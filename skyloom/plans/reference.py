@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from skyloom.functions.identity import identity
 from skyloom.functions.scalars import digest_text
-from skyloom.operators import background, calibration, catalog, components, discovery, fit, ordering, pixels, psf, reports, selection, upsert
+from skyloom.operators import background, calibration, catalog, components, discovery, fit, measure, ordering, pixels, psf, reports, selection, upsert
 from skyloom.session import load
 from skyloom.streaming import events
 
@@ -469,6 +469,14 @@ def image_merged_neighbours(spark: SparkSession, d: str) -> DataFrame:
 QUERIES["image_merged_neighbours"] = image_merged_neighbours
 
 
+def image_measurements(spark: SparkSession, d: str) -> DataFrame:
+    """Forced photometry of every image with neighbours fitted along; solved in small systems, so there is no SQL."""
+    return measure.measure(_pixels(spark, d).select("image_id", "y", "x", "value", "variance", "flag", "template"), 3.3, 3.6, 8)
+
+
+QUERIES["image_measurements"] = image_measurements
+
+
 _ZONES = [(det, zy * 4 + zx, 256.0 + 512 * zx + 3 * det, 256.0 + 512 * zy - 2 * det) for det in range(1, 7) for zy in range(4) for zx in range(4)]
 
 
@@ -496,7 +504,7 @@ def psf_binned(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""
 select measurement_id, case when point_flux_uJy is null or point_flux_err_uJy is null or isnan(point_flux_uJy) or isnan(point_flux_err_uJy) or isinf(point_flux_uJy) or isinf(point_flux_err_uJy) or point_flux_err_uJy <= 0 then 'invalid_fit'
-  when point_flux_uJy < 0 then 'negative_flux' when point_flux_uJy / point_flux_err_uJy < 5 then 'non_detection' else 'detected' end as status,
+  when point_flux_uJy < 0 then 'negative_flux' when point_flux_uJy / point_flux_err_uJy < 3 then 'non_detection' else 'detected' end as status,
   case when point_flux_err_uJy is null or isnan(point_flux_err_uJy) or isinf(point_flux_err_uJy) then cast('nan' as double) else 3 * point_flux_err_uJy end as upper_limit from ({_MEASURED})""")
 def measurement_detection(spark: SparkSession, d: str) -> DataFrame:
     """Detection status and upper limit of every measurement."""
