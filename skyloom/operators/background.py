@@ -75,3 +75,25 @@ def clipped_median(pixels: DataFrame, mask: str, rounds: int = ROUNDS) -> DataFr
         state = state.withColumn("kept", F.col("kept") & ((F.col("n") < LEAST) | ~(F.col("sigma") > 0) | near)).drop("mid", "sigma", "n")
     end = with_scatter(state, "value", "kept", "mid", "sigma")
     return end.groupBy("image_id").agg(F.count_if("kept").alias("n_pixels"), F.first("mid").alias("value"), F.first("sigma").alias("sigma"))
+
+
+def without_bright(pixels: DataFrame, base: str, out: str, rounds: int = ROUNDS) -> DataFrame:
+    """``out``: base pixels within CLIP scatters of the median, both re-estimated from what each round keeps but always applied to the whole base."""
+    state = pixels.withColumn(out, F.col(base))
+    for _ in range(rounds):
+        state = with_scatter(state, "value", out, "__mid", "__sigma")
+        near = F.abs(F.col("value") - F.col("__mid")) <= CLIP * F.col("__sigma")
+        state = state.withColumn(out, F.when(F.col("__sigma") > 0, F.col(base) & near).otherwise(F.col(out))).drop("__mid", "__sigma")
+    return state
+
+
+def plane_or_fallback(masked: DataFrame, x0: float, y0: float) -> DataFrame:
+    """clipped_plane() rows with ``method``: the plane through the background mask where it holds, else one through all sound pixels outside the target that aren't bright, else failed.
+
+    Only images whose first plane failed go through the second.
+    """
+    first = clipped_plane(masked, "background", x0, y0).withColumn("method", F.lit("plane"))
+    good = first.filter("ok")
+    failed = masked.join(good.select("image_id"), "image_id", "left_anti").withColumn("sound", F.col("fit") & ~F.col("protected"))
+    second = clipped_plane(without_bright(failed, "sound", "calm"), "calm", x0, y0).withColumn("method", F.when(F.col("ok"), "image_clipped").otherwise("failed"))
+    return good.unionByName(second)

@@ -18,6 +18,8 @@ from skyloom.session import cut_lineage
 
 # Settings of the search for neighbours and of the gate between the fits.
 FIT_BOX, SNR, MIN_AREA, GUARD, MIN_DISTANCE, MATERIAL_OVERLAP, MERGE_RADIUS, MOST = 15, 5.0, 1, 1.5, 2.0, 0.05, 2.0, 8
+# Why an area of the residuals is no neighbour, in the order of the rules.
+REJECTED = ("touches_target_protection", "small_component", "near_target_protected_residual", "inside_minimum_target_distance", "low_target_influence", "merged_with_nearby_component", "max_neighbors_exceeded")
 WORST_CORRELATION, WORST_INFLATION, CHI2_GAIN, WORST_CONDITION = 0.9, 3.0, 1.05, 1.0e8
 SOLVED = "image_id bigint, n_pixels bigint, fluxes array<double>, errors array<double>, worst_correlation double, chi2_reduced double, ok boolean"
 
@@ -52,12 +54,12 @@ def find_neighbours(rest: DataFrame, x0: float, y0: float, width: int) -> DataFr
     found = found.join(cosine, ["image_id", "component"], "left").withColumn("overlap", F.coalesce("overlap", F.lit(0.0)))
     heard = (F.abs("peak_snr") >= SNR) | (F.abs("total_snr") >= SNR)
     material = heard & ((F.col("overlap") >= MATERIAL_OVERLAP) | ((F.col("distance") <= FIT_BOX / 2) & (F.abs("total_snr") >= SNR)))
-    reason = F.when(F.coalesce("inside", F.lit(False)), "touches_target_protection").when(F.col("area") < MIN_AREA, "small_component").when(F.col("distance") <= guard, "near_target_protected_residual")
-    reason = reason.when(F.col("distance") < MIN_DISTANCE, "inside_minimum_target_distance").when(~material, "low_target_influence")
+    reason = F.when(F.coalesce("inside", F.lit(False)), REJECTED[0]).when(F.col("area") < MIN_AREA, REJECTED[1]).when(F.col("distance") <= guard, REJECTED[2])
+    reason = reason.when(F.col("distance") < MIN_DISTANCE, REJECTED[3]).when(~material, REJECTED[4])
     found = found.withColumn("reason", reason).drop("cx", "cy", "inside")
-    passed = components.merge_nearby(found.filter("reason is null"), MERGE_RADIUS).withColumn("reason", F.when(~F.col("kept"), "merged_with_nearby_component"))
+    passed = components.merge_nearby(found.filter("reason is null"), MERGE_RADIUS).withColumn("reason", F.when(~F.col("kept"), REJECTED[5]))
     rank = F.row_number().over(Window.partitionBy("image_id", "kept").orderBy(F.desc("peak_snr"), "component"))
-    passed = passed.withColumn("rank", F.when(F.col("kept"), rank)).withColumn("reason", F.when(F.col("rank") > MOST, "max_neighbors_exceeded").otherwise(F.col("reason")))
+    passed = passed.withColumn("rank", F.when(F.col("kept"), rank)).withColumn("reason", F.when(F.col("rank") > MOST, REJECTED[6]).otherwise(F.col("reason")))
     return found.filter("reason is not null").withColumn("rank", F.lit(None).cast("int")).unionByName(passed.drop("kept"))
 
 
@@ -113,10 +115,11 @@ def measure(images: DataFrame, x0: float, y0: float, width: int) -> DataFrame:
     The background plane is fitted outside the protected target, the target is fitted, bright areas of what is left
     are taken as neighbours, the background is fitted again without them, and target and neighbours are fitted
     together. The joint flux counts where it is stable: not too correlated, not much less certain, and no worse a fit.
-    Images whose background can't be fitted come out with null flux and status invalid_background.
+    Where the background mask leaves too little, the plane goes through all sound pixels outside the target that aren't
+    bright. Images whose background can't be fitted either way come out with null flux and status invalid_background.
     """
     masked = pixels.with_masks(images, x0, y0)
-    first = cut_lineage(subtract_plane(masked, background.clipped_plane(masked, "background", x0, y0), x0, y0))
+    first = cut_lineage(subtract_plane(masked, background.plane_or_fallback(masked, x0, y0), x0, y0))
     point = fit.point_fit(first, "template", "fit")
     rest = cut_lineage(first.join(point.select("image_id", "flux"), "image_id").withColumn("residual", F.col("value") - F.coalesce("flux", F.lit(0.0)) * F.col("template")))
     found = cut_lineage(find_neighbours(rest, x0, y0, width))
@@ -125,7 +128,7 @@ def measure(images: DataFrame, x0: float, y0: float, width: int) -> DataFrame:
     covered = at.withColumn("near", pixels.footprint_in("t", pixels.FOOTPRINT, ["image_id", "component"])).groupBy("image_id", "y", "x").agg(F.bool_or("near").alias("neighbour"), F.array_sort(F.collect_list(F.struct("rank", "t"))).alias("others"))
     again = images.join(covered, ["image_id", "y", "x"], "left").withColumn("covered", F.coalesce("neighbour", F.lit(False))).drop("neighbour")
     masked = pixels.with_masks(again, x0, y0, neighbour=F.col("covered"))
-    data = subtract_plane(masked, background.clipped_plane(masked, "background", x0, y0), x0, y0)
+    data = subtract_plane(masked, background.plane_or_fallback(masked, x0, y0), x0, y0)
     data = cut_lineage(data.withColumn("ts", F.concat(F.array("template"), F.coalesce(F.transform("others", lambda o: o.t), F.array().cast("array<double>")))))
     alone = joint_fit(data.withColumn("ts", F.array("template")), "fit").select("image_id", "n_pixels", F.col("fluxes")[0].alias("p_flux"), F.col("errors")[0].alias("p_err"), F.col("chi2_reduced").alias("p_chi2"))
     together = joint_fit(data.filter("size(ts) > 1"), "fit").select("image_id", F.col("fluxes")[0].alias("j_flux"), F.col("errors")[0].alias("j_err"), F.col("chi2_reduced").alias("j_chi2"), "worst_correlation", (F.size("fluxes") - 1).alias("n_neighbours"), F.col("ok").alias("j_ok"))

@@ -347,8 +347,8 @@ def measurement_flag_names(spark: SparkSession, d: str) -> DataFrame:
     return _measured(spark, d).select("measurement_id", "image_flags", F.coalesce(F.array_join(pixels.flag_names(F.col("image_flags")), ";"), F.lit("")).alias("names"))
 
 
-def _plane_sql(rounds: int) -> str:
-    parts, last = ["s0 as (select image_id, y, x, value, variance, x - 3.5 as xc, y - 3.5 as yc, true as kept from m where background)"], "s0"
+def _plane_sql(rounds: int, start: str = "m where background") -> str:
+    parts, last = [f"s0 as (select image_id, y, x, value, variance, x - 3.5 as xc, y - 3.5 as yc, true as kept from {start})"], "s0"
     for r in range(1, rounds + 2):
         parts.append(f"""n{r} as (select image_id, count(*) as n, sum(1 / variance) as s, sum(xc / variance) as sx, sum(yc / variance) as sy, sum(xc * xc / variance) as sxx, sum(xc * yc / variance) as sxy, sum(yc * yc / variance) as syy,
   sum(value / variance) as sz, sum(xc * value / variance) as sxz, sum(yc * value / variance) as syz from {last} where kept group by 1),
@@ -364,15 +364,32 @@ h as (select {last}.image_id, median(abs(r - mid)) filter (where kept) as mad fr
     return ",\n".join(parts)
 
 
-@query("with " + _PIX + ",\n" + _plane_sql(background.ROUNDS) + """
+_PLANE = """
 select image_id, n_pixels, n_pixels >= 12 as ok, case when n_pixels >= 12 then round(b0, 8) end as b0, case when n_pixels >= 12 then round(bx, 8) end as bx, case when n_pixels >= 12 then round(by_, 8) end as "by",
   case when n_pixels >= 12 then round(greatest(case when mad > 0 then 1.4826 * mad else sd end, noise), 8) end as rms, case when n_pixels >= 12 then round(greatest(case when mad > 0 then 1.4826 * mad else sd end, noise) / sqrt(n_pixels), 8) end as uncertainty,
-  round(1 - n_pixels / n0, 8) as clipped_share from g join h using (image_id)""")
+  round(1 - n_pixels / n0, 8) as clipped_share from g join h using (image_id)"""
+
+
+@query("with " + _PIX + ",\n" + _plane_sql(background.ROUNDS) + _PLANE)
 def image_background(spark: SparkSession, d: str) -> DataFrame:
     """The clipped plane under every image."""
     return _ROUND(background.clipped_plane(_masked(spark, d), "background", 3.5, 3.5))
 
 
+_CALM = """w0 as (select *, true as calm from m where fit and not protected),
+v1 as (select image_id, median(value) as mid, stddev_pop(value) as sd from w0 group by 1), v2 as (select w0.image_id, any_value(mid) as mid, case when median(abs(value - mid)) > 0 then 1.4826 * median(abs(value - mid)) else any_value(sd) end as sigma from w0 join v1 using (image_id) group by 1),
+w1 as (select w0.* exclude (calm), abs(value - mid) <= 3 * sigma as calm from w0 join v2 using (image_id)),
+v3 as (select image_id, median(value) as mid, stddev_pop(value) as sd from w1 where calm group by 1), v4 as (select w1.image_id, any_value(mid) as mid, case when median(abs(value - mid)) > 0 then 1.4826 * median(abs(value - mid)) else any_value(sd) end as sigma from w1 join v3 using (image_id) where calm group by 1),
+w2 as (select w1.* exclude (calm), abs(value - mid) <= 3 * sigma as calm from w1 join v4 using (image_id))"""
+
+
+@query("with " + _PIX + ",\n" + _CALM + ",\n" + _plane_sql(background.ROUNDS, "w2 where calm") + _PLANE)
+def image_calm_background(spark: SparkSession, d: str) -> DataFrame:
+    """The plane through the sound pixels of every image that aren't bright, whatever their flags."""
+    m = _masked(spark, d).withColumn("sound", F.col("fit") & ~F.col("protected"))
+    return _ROUND(background.clipped_plane(background.without_bright(m, "sound", "calm"), "calm", 3.5, 3.5))
+
+
 @query("with " + _PIX + """,
 a1 as (select image_id, median(value) as mid, count(*) as n from m where fit group by 1), a2 as (select m.image_id, any_value(mid) as mid, any_value(n) as n, 1.4826 * median(abs(value - mid)) as sigma from m join a1 using (image_id) where fit group by 1),
 b0 as (select m.image_id, value from m join a2 using (image_id) where fit and (n < 10 or abs(value - mid) <= 3 * sigma)),

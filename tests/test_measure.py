@@ -33,10 +33,10 @@ def results(spark):
     noise = np.random.default_rng(7).normal(0, 0.2, (SIZE, SIZE))
     images = {
         1: plane() + 100 * bump(X0, Y0) + noise, 2: plane() - 40 * bump(X0, Y0) + noise, 3: plane() + noise, 4: plane() + 100 * bump(X0, Y0) + 300 * bump(18.0, 12.0) + noise,
-        5: plane() + 100 * bump(X0, Y0) + noise,
+        5: plane() + 100 * bump(X0, Y0) + noise, 6: plane() + 100 * bump(X0, Y0) + 300 * bump(18.0, 12.0) + noise,
     }
-    blocked = np.full((SIZE, SIZE), 1 << pixels.FLAG_BITS["SOURCE"])
-    data = [r for k, v in images.items() for r in rows(k, v, flags=blocked if k == 5 else None)]
+    flags = {5: np.full((SIZE, SIZE), 1 << pixels.FLAG_BITS["HOT"]), 6: np.full((SIZE, SIZE), 1 << pixels.FLAG_BITS["SOURCE"])}
+    data = [r for k, v in images.items() for r in rows(k, v, flags=flags.get(k))]
     return {r.image_id: r for r in measure.measure(spark.createDataFrame(data, SCHEMA), X0, Y0, SIZE).collect()}
 
 
@@ -56,6 +56,10 @@ def test_background_fails_closed(results):
     assert results[5].flux is None and results[5].status == "invalid_background"
 
 
+def test_background_falls_back_to_calm_pixels(results):
+    assert results[6].deblending == "joint_stable" and abs(results[6].flux - 100) < 5 * results[6].flux_err
+
+
 def test_plane_is_recovered_exactly(spark):
     image = plane()
     df = spark.createDataFrame(rows(1, image), SCHEMA)
