@@ -2,47 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window, WindowSpec
 
 CLIP, ROUNDS, LEAST, LEAST_PLANE, WORST_CONDITION = 3.0, 2, 10, 12, 1.0e8
 MAD = 1.4826
+OVER = "over (partition by image_id)"
+# robust scatter: 1.4826 times the median distance from the median, or the standard deviation where that is 0
+SCATTER = f"if(mad > 0, {MAD} * mad, sd)"
 
 
-def _image() -> WindowSpec:
-    return Window.partitionBy("image_id")
+def _with_middle(pixels: DataFrame, value: str, keep: str, *more: str) -> DataFrame:
+    """``mid, sd, mad`` of each image's kept values, and more columns over the image; two windows of one partitioning."""
+    kept = f"case when {keep} then {value} end"
+    out = pixels.selectExpr("*", f"median({kept}) {OVER} as mid", f"stddev_pop({kept}) {OVER} as sd", *more)
+    return out.selectExpr("*", f"median(case when {keep} then abs({value} - mid) end) {OVER} as mad")
 
 
-def spread(value: Column, keep: Column) -> tuple[Column, Column]:
-    """Names of what robust scatter needs, as columns over the image: the kept values' median and their standard deviation."""
-    return F.median(F.when(keep, value)).over(_image()), F.stddev_pop(F.when(keep, value)).over(_image())
+def _plane(pixels: DataFrame, keep: str, carried: list[str]) -> DataFrame:
+    """The carried columns with ``b0, bx, by`` of the weighted plane through each image's kept pixels and the rest ``r``.
 
-
-def with_scatter(pixels: DataFrame, value: str, keep: str, mid: str, sigma: str) -> DataFrame:
-    """``mid`` and ``sigma`` per image: 1.4826 times the median distance from the median, or the standard deviation where that is 0."""
-    out = pixels.withColumns(dict(zip((mid, "__sd"), spread(F.col(value), F.col(keep)), strict=True)))
-    out = out.withColumn("__mad", F.median(F.when(F.col(keep), F.abs(F.col(value) - F.col(mid)))).over(_image()))
-    return out.withColumn(sigma, F.when(F.col("__mad") > 0, MAD * F.col("__mad")).otherwise(F.col("__sd"))).drop("__mad", "__sd")
-
-
-def with_plane(pixels: DataFrame, keep: str) -> DataFrame:
-    """``n, b0, bx, by`` of the weighted plane through each image's kept pixels, from nine sums and Cramer's rule; null where they don't determine it."""
-    w, x, y, z = 1 / F.col("variance"), F.col("xc"), F.col("yc"), F.col("value")
-    terms = {"s": w, "sx": w * x, "sy": w * y, "sxx": w * x * x, "sxy": w * x * y, "syy": w * y * y, "sz": w * z, "sxz": w * x * z, "syz": w * y * z}
-    sums = pixels.withColumns({"n": F.count_if(F.col(keep)).over(_image())} | {k: F.sum(F.when(F.col(keep), t)).over(_image()) for k, t in terms.items()})
-    c = F.col
+    The plane comes from nine sums and Cramer's rule; its coefficients are null where the sums don't determine it.
+    """
+    terms = {"s": "1", "sx": "xc", "sy": "yc", "sxx": "xc * xc", "sxy": "xc * yc", "syy": "yc * yc", "sz": "value", "sxz": "xc * value", "syz": "yc * value"}
+    sums = pixels.selectExpr(*carried, f"count_if({keep}) {OVER} as n", *(f"sum(case when {keep} then {t} / variance end) {OVER} as {k}" for k, t in terms.items()))
     # minors of the symmetric matrix (s sx sy / sx sxx sxy / sy sxy syy)
-    m00, m01, m02 = c("sxx") * c("syy") - c("sxy") * c("sxy"), c("sx") * c("syy") - c("sxy") * c("sy"), c("sx") * c("sxy") - c("sxx") * c("sy")
-    m11, m12, m22 = c("s") * c("syy") - c("sy") * c("sy"), c("s") * c("sxy") - c("sx") * c("sy"), c("s") * c("sxx") - c("sx") * c("sx")
-    det = c("s") * m00 - c("sx") * m01 + c("sy") * m02
-    ok = (c("n") >= LEAST_PLANE) & (F.abs(det) * WORST_CONDITION > c("s") * c("sxx") * c("syy"))
-    solved = {
-        "b0": (m00 * c("sz") - m01 * c("sxz") + m02 * c("syz")) / det,
-        "bx": (-m01 * c("sz") + m11 * c("sxz") - m12 * c("syz")) / det,
-        "by": (m02 * c("sz") - m12 * c("sxz") + m22 * c("syz")) / det,
-    }
-    return sums.withColumns({k: F.when(ok, v) for k, v in solved.items()}).drop(*terms)
+    minors = {"m00": "sxx * syy - sxy * sxy", "m01": "sx * syy - sxy * sy", "m02": "sx * sxy - sxx * sy", "m11": "s * syy - sy * sy", "m12": "s * sxy - sx * sy", "m22": "s * sxx - sx * sx"}
+    sums = sums.selectExpr("*", *(f"{m} as {k}" for k, m in minors.items())).selectExpr("*", "s * m00 - sx * m01 + sy * m02 as det")
+    ok = f"n >= {LEAST_PLANE} and abs(det) * {WORST_CONDITION} > s * sxx * syy"
+    rows = {"b0": "m00 * sz - m01 * sxz + m02 * syz", "bx": "-m01 * sz + m11 * sxz - m12 * syz", "by": "m02 * sz - m12 * sxz + m22 * syz"}
+    solved = sums.selectExpr(*carried, *(f"case when {ok} then ({v}) / det end as `{k}`" for k, v in rows.items()))
+    return solved.selectExpr("*", "value - (b0 + bx * xc + `by` * yc) as r")
 
 
 def clipped_plane(pixels: DataFrame, mask: str, x0: float, y0: float) -> DataFrame:
@@ -53,37 +43,35 @@ def clipped_plane(pixels: DataFrame, mask: str, x0: float, y0: float) -> DataFra
     has nulls and ok false; one without any masked pixel has no row. All rounds are windows over one partitioning by
     image.
     """
-    state = pixels.filter(F.col(mask)).select("image_id", "value", "variance", (F.col("x") - x0).alias("xc"), (F.col("y") - y0).alias("yc")).withColumn("kept", F.lit(True)).withColumn("noise", F.sqrt("variance"))
-    rms = F.greatest("sigma", "floor")
+    carried = ["image_id", "value", "variance", "xc", "yc", "noise", "kept"]
+    state = pixels.filter(mask).selectExpr("image_id", "value", "variance", f"x - {x0!r}D as xc", f"y - {y0!r}D as yc", "sqrt(variance) as noise", "true as kept")
+    floor, rms = f"median(case when kept then noise end) {OVER} as floor_", f"greatest({SCATTER}, floor_)"
     for _ in range(ROUNDS + 1):
-        state = with_plane(state.drop("n", "b0", "bx", "by"), "kept")
-        state = state.withColumn("r", F.col("value") - (F.col("b0") + F.col("bx") * F.col("xc") + F.col("by") * F.col("yc")))
-        state = with_scatter(state, "r", "kept", "mid", "sigma").withColumn("floor", F.median(F.when(F.col("kept"), F.col("noise"))).over(_image()))
-        state = state.withColumn("kept", F.coalesce(F.col("kept") & (F.abs("r") <= CLIP * rms), F.lit(False)))
-    state = with_scatter(state.drop("mid", "sigma", "floor"), "r", "kept", "mid", "sigma").withColumn("floor", F.median(F.when(F.col("kept"), F.col("noise"))).over(_image()))
-    out = state.groupBy("image_id").agg(F.count(F.lit(1)).alias("n0"), F.count_if("kept").alias("n_pixels"), *(F.first(k).alias(k) for k in ("b0", "bx", "by")), F.first(rms).alias("rms"))
-    ok = F.col("b0").isNotNull() & (F.col("n_pixels") >= LEAST_PLANE)
-    return out.select("image_id", "n_pixels", *(F.when(ok, F.col(k)).alias(k) for k in ("b0", "bx", "by", "rms")), F.when(ok, F.col("rms") / F.sqrt("n_pixels")).alias("uncertainty"), (1 - F.col("n_pixels") / F.col("n0")).alias("clipped_share"), ok.alias("ok"))
+        fitted = _with_middle(_plane(state, "kept", carried), "r", "kept", floor)
+        state = fitted.selectExpr(*carried[:-1], "b0", "bx", "`by`", "r", f"coalesce(kept and abs(r) <= {CLIP} * {rms}, false) as kept")
+    state = _with_middle(state, "r", "kept", floor)
+    firsts = [F.expr(f"first(`{k}`)").alias(k) for k in ("b0", "bx", "by")]
+    out = state.groupBy("image_id").agg(F.expr("count(1)").alias("n0"), F.expr("count_if(kept)").alias("n_pixels"), *firsts, F.expr(f"first({rms})").alias("rms"))
+    out = out.selectExpr("*", f"b0 is not null and n_pixels >= {LEAST_PLANE} as ok")
+    return out.selectExpr("image_id", "n_pixels", *(f"if(ok, `{k}`, null) as `{k}`" for k in ("b0", "bx", "by", "rms")), "if(ok, rms / sqrt(n_pixels), null) as uncertainty", "1 - n_pixels / n0 as clipped_share", "ok")
 
 
 def clipped_median(pixels: DataFrame, mask: str, rounds: int = ROUNDS) -> DataFrame:
     """``image_id, n_pixels, value, sigma``: the median after rounds of clipping about it; once fewer than LEAST pixels are left nothing more is clipped."""
-    state = pixels.filter(F.col(mask)).select("image_id", "value").withColumn("kept", F.lit(True))
+    state = pixels.filter(mask).selectExpr("image_id", "value", "true as kept")
     for _ in range(rounds):
-        state = with_scatter(state, "value", "kept", "mid", "sigma").withColumn("n", F.count_if("kept").over(_image()))
-        near = F.abs(F.col("value") - F.col("mid")) <= CLIP * F.col("sigma")
-        state = state.withColumn("kept", F.col("kept") & ((F.col("n") < LEAST) | ~(F.col("sigma") > 0) | near)).drop("mid", "sigma", "n")
-    end = with_scatter(state, "value", "kept", "mid", "sigma")
-    return end.groupBy("image_id").agg(F.count_if("kept").alias("n_pixels"), F.first("mid").alias("value"), F.first("sigma").alias("sigma"))
+        near = f"(n < {LEAST} or not {SCATTER} > 0 or abs(value - mid) <= {CLIP} * {SCATTER})"
+        state = _with_middle(state, "value", "kept", f"count_if(kept) {OVER} as n").selectExpr("image_id", "value", f"kept and {near} as kept")
+    end = _with_middle(state, "value", "kept")
+    return end.groupBy("image_id").agg(F.expr("count_if(kept)").alias("n_pixels"), F.expr("first(mid)").alias("value"), F.expr(f"first({SCATTER})").alias("sigma"))
 
 
 def without_bright(pixels: DataFrame, base: str, out: str, rounds: int = ROUNDS) -> DataFrame:
     """``out``: base pixels within CLIP scatters of the median, both re-estimated from what each round keeps but always applied to the whole base."""
-    state = pixels.withColumn(out, F.col(base))
+    columns, state = pixels.columns, pixels.withColumn(out, F.col(base))
     for _ in range(rounds):
-        state = with_scatter(state, "value", out, "__mid", "__sigma")
-        near = F.abs(F.col("value") - F.col("__mid")) <= CLIP * F.col("__sigma")
-        state = state.withColumn(out, F.when(F.col("__sigma") > 0, F.col(base) & near).otherwise(F.col(out))).drop("__mid", "__sigma")
+        calm = f"if({SCATTER} > 0, {base} and abs(value - mid) <= {CLIP} * {SCATTER}, {out}) as {out}"
+        state = _with_middle(state, "value", out).selectExpr(*columns, calm)
     return state
 
 

@@ -142,10 +142,14 @@ class Chunk:
         self.limit = out
         self.usable = {f: ~self.null[f] & ~self.limit[f] & ~self.frozen[f] for f in FIELDS}
 
-    def fits(self) -> Iterator[tuple]:
+    def fits(self, skip: np.ndarray | None = None) -> Iterator[tuple | None]:
+        """Count, curve and level of each block by its own readings; None for those to skip."""
         flux, w, chi = (self.value[f] for f in FIELDS)
         curve_ok = self.usable["point_flux_uJy"] & self.usable["wavelength_um"]
-        for a, n in zip(self.starts, self.sizes, strict=True):
+        for i, (a, n) in enumerate(zip(self.starts, self.sizes, strict=True)):
+            if skip is not None and skip[i]:
+                yield None
+                continue
             s = slice(a, a + n)
             k, m = curve_ok[s], self.usable["chi2_reduced"][s]
             yield (int(n), *_reorder(fit_curve(w[s][k], flux[s][k])), *fit_level(chi[s][m]))
@@ -241,7 +245,7 @@ def _score(c: Chunk, flagged_only: bool) -> pa.RecordBatch:
     flux, w, chi = (c.value[f] for f in FIELDS)
     t = c.table
     merged = t["n_source"].is_valid().to_numpy()[c.starts]
-    fits = list(c.fits()) if not merged.all() else [None] * len(c.starts)
+    fits = list(c.fits(skip=merged))
     count, coef, var_f, mean_c, var_c = np.zeros(len(fits)), np.zeros((len(fits), TERMS)), np.zeros(len(fits)), np.zeros(len(fits)), np.zeros(len(fits))
     for g, (a, own) in enumerate(zip(c.starts, fits, strict=True)):
         if merged[g]:
