@@ -9,16 +9,16 @@ from pyspark.sql.window import Window
 from skyloom.session import cut_lineage
 
 
-def connected_components(pixels: DataFrame, width: int, most_rounds: int = 40) -> DataFrame:
+def connected_components(pixels: DataFrame, width: int) -> DataFrame:
     """``image_id, y, x, component``: each masked pixel with the first pixel (``y * width + x``) of its component.
 
     Labels spread to the smallest among the neighbours, and each round a pixel also takes the label of its label, so
-    rounds grow with the logarithm of a component's length. Lineage is cut after each round. Components never reach
-    beyond an image, so all joins are by image.
+    that labels travel further and further until nothing changes. Lineage is cut after each round. Components never
+    reach beyond an image, so all joins are by image.
     """
     state = cut_lineage(pixels.select("image_id", "y", "x", (F.col("y") * width + F.col("x")).alias("label")).repartition("image_id"))
     near = F.explode(F.expr("array(-1, 0, 1)"))
-    for _ in range(most_rounds):
+    while True:
         spread = state.withColumn("dy", near).withColumn("dx", near).select("image_id", "label", (F.col("y") + F.col("dy")).alias("y"), (F.col("x") + F.col("dx")).alias("x"))
         nearest = spread.groupBy("image_id", "y", "x").agg(F.min("label").alias("least"))
         moved = state.join(nearest, ["image_id", "y", "x"]).select("image_id", "y", "x", "label", "least")
@@ -28,7 +28,6 @@ def connected_components(pixels: DataFrame, width: int, most_rounds: int = 40) -
         state = jumped.select("image_id", "y", "x", "label")
         if jumped.filter("changed").isEmpty():
             return state.withColumnRenamed("label", "component")
-    raise RuntimeError("components did not settle")
 
 
 def summarize(members: DataFrame, x0: float, y0: float) -> DataFrame:

@@ -20,7 +20,7 @@ def upper_limit(err: Column, sigmas: float = 3.0) -> Column:
 
 def flag_list(flags: Column) -> Column:
     """Distinct flags of a text separated by semicolons, in their first order, without blanks."""
-    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(flags, F.lit("")), ";"), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(flags, F.lit("")), ";"), lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def blocking(flags: Column, harmless: list[str]) -> Column:
