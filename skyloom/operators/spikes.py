@@ -113,21 +113,27 @@ def fit_level(y: np.ndarray) -> tuple[float, float, int]:
     return mean, var, int(ok.sum())
 
 
+def _as_before(t: pa.Table, column: str) -> np.ndarray:
+    """For each row from the second on whether it holds the value of the row before; two nulls are the same."""
+    now, before = t[column][1:], t[column][:-1]
+    both_null = pc.and_(pc.is_null(now), pc.is_null(before))
+    return pc.or_(pc.fill_null(pc.equal(now, before), False), both_null).to_numpy()
+
+
 class Chunk:
     """The distinct readings of whole blocks, in the order of source, block, run and time, as arrays."""
 
     def __init__(self, t: pa.Table):
         t = t.combine_chunks()
-        same = lambda c: pc.fill_null(pc.equal(t[c][1:], t[c][:-1]), False).to_numpy(zero_copy_only=False) | (pc.is_null(t[c][1:]).to_numpy(zero_copy_only=False) & pc.is_null(t[c][:-1]).to_numpy(zero_copy_only=False))
         if len(t) > 1:
-            again = same("measurement_id") & same("created_us") & same("photometry_run_id") & same("source_id")
+            again = _as_before(t, "measurement_id") & _as_before(t, "created_us") & _as_before(t, "photometry_run_id") & _as_before(t, "source_id")
             t = t.filter(pa.array(np.append(True, ~again))).combine_chunks()
         self.table, self.n = t, len(t)
-        block = np.append(True, ~(same("source_id") & same("block"))) if self.n > 1 else np.ones(self.n, bool)
+        block = np.append(True, ~(_as_before(t, "source_id") & _as_before(t, "block")))[: self.n]
         self.starts = np.flatnonzero(block)
         self.sizes = np.diff(np.append(self.starts, self.n))
         self.group = np.cumsum(block) - 1
-        run = np.append(True, ~same("photometry_run_id")) if self.n > 1 else np.ones(self.n, bool)
+        run = np.append(True, ~_as_before(t, "photometry_run_id"))[: self.n]
         self.run = np.cumsum(block | run)
         self.known = t["source_id"].is_valid().to_numpy()
         self.null = {f: t[f].is_null().to_numpy() for f in FIELDS}
@@ -152,11 +158,8 @@ class Chunk:
                 continue
             s = slice(a, a + n)
             k, m = curve_ok[s], self.usable["chi2_reduced"][s]
-            yield (int(n), *_reorder(fit_curve(w[s][k], flux[s][k])), *fit_level(chi[s][m]))
-
-
-def _reorder(fit: tuple[np.ndarray, float, int]) -> tuple[int, np.ndarray, float]:
-    return fit[2], fit[0], fit[1]
+            coef, var, n_flux = fit_curve(w[s][k], flux[s][k])
+            yield (int(n), n_flux, coef, var, *fit_level(chi[s][m]))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], least: int = 30_000) -> Iterator[Chunk]:
