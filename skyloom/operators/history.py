@@ -1,16 +1,20 @@
-"""History of changing entity attributes from a log of states, by Merkle comparison of consecutive snapshots.
+"""History of changing entity attributes from snapshots and updates, by Merkle comparison of consecutive deliveries.
 
-The log is cut into periods; the state of all entities at each cut is a snapshot. Snapshots of consecutive cuts are
-compared through trees of digests over key buckets: only branches that differ are descended, and only entities in
-differing leaf buckets are compared and have their new versions appended to the history. Branches that no write fell
-into are equal by construction and take no rows.
+The log is cut into periods. What a period delivers is hashed into key buckets, and the buckets into a tree; a bucket's
+digest covers the set of keys delivered and the state of each, so a snapshot that repeats the one before has the
+digests of the one before, whatever its number of rows. Only branches whose digest differs from the delivery before
+are descended. Rows are read by entity only in the leaves so found: their states are compared and the new versions are
+appended. Everything up to there is sums of hashes that are combined before each shuffle; no entity's state is
+compared with the one before outside of a differing leaf.
 
-An entity's writes of one period form one group, and what goes on beyond a period passes through one summary row per
+An entity's rows of one period form one group, and what goes on beyond a period passes through one summary row per
 entity and period, so an entity that holds a third of the log never makes one large group.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,45 +25,38 @@ CLOSED = "closed"
 DAY = 86_400_000_000
 
 
-def _runs(log: DataFrame, period_us: int) -> DataFrame:
-    """First rows of runs of one state within an entity's period: ``key, cut, t, state, value, closed_at, run``.
+def _state() -> Column:
+    return F.when(F.col("closed_at").isNotNull(), CLOSED).when(F.col("value").isNull(), "null").otherwise(F.concat(F.lit("="), "value"))
 
-    Of rows of one key and time the one with the highest tie-breaker counts.
-    """
-    rows = log.withColumn("cut", ((F.col("t") - F.pmod(F.col("t"), F.lit(period_us))) / F.lit(period_us)).cast("bigint"))
-    rows = rows.repartition("key", "cut")
-    one = rows.groupBy("key", "cut", "t").agg(F.max(F.struct("tie", "value", "closed_at")).alias("r")).select("key", "cut", "t", "r.value", "r.closed_at")
-    state = F.when(F.col("closed_at").isNotNull(), CLOSED).when(F.col("value").isNull(), "null").otherwise(F.concat(F.lit("="), "value"))
-    w = Window.partitionBy("key", "cut").orderBy("t")
-    one = one.withColumn("state", state).withColumn("starts", ~F.lag("state").over(w).eqNullSafe(F.col("state")))
-    return one.filter("starts").withColumn("run", F.row_number().over(w)).drop("starts")
 
+def delivered_rows(log: DataFrame, period_us: int) -> DataFrame:
+    """Usable rows of the log with the period (``cut``) they were delivered in and their key's number (``k``)."""
+    rows = log.select("key", "t", "tie", "value", "closed_at").filter("key is not null and t is not null")
+    return rows.withColumns({"cut": ((F.col("t") - F.pmod(F.col("t"), F.lit(period_us))) / F.lit(period_us)).cast("bigint"), "k": F.xxhash64("key")})
 
-def snapshot_entries(runs: DataFrame, buckets: int) -> DataFrame:
-    """Per entity and cut with writes: its state before, and digests of what it was and became.
 
-    The digest of a period covers all its states in order, so that a state that comes and goes within it shows.
-    """
-    per_cut = runs.groupBy("key", "cut").agg(F.max_by("state", "run").alias("last"), F.bit_xor(F.xxhash64("state", "run")).alias("became"), F.bit_xor(F.xxhash64("run", "state", F.lit(1))).alias("became2"))
-    w = Window.partitionBy("key").orderBy("cut")
-    before = F.lag("last").over(w)
-    one = F.lit(1)
-    return per_cut.select(
-        "key", "cut", before.alias("before"), F.xxhash64(before, one).alias("was"), "became", F.xxhash64(one, before, F.lit(1)).alias("was2"), "became2",
-        F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket"),
-    ).withColumns({c: F.when(F.col("before").isNull(), 0).otherwise(F.col(c)).cast("bigint") for c in ("was", "was2")})
+def entity_digests(rows: DataFrame) -> DataFrame:
+    """Per key number and period the smallest and largest digest of the states delivered; combined before the shuffle."""
+    digest = F.xxhash64(F.lit(1), _state(), "key")
+    return rows.groupBy("cut", "k").agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
+
 
+def merkle_leaves(digests: DataFrame, buckets: int) -> DataFrame:
+    """``cut, node, was, became``: a bucket's digest in a period, and in the last period that delivered to it.
 
-def merkle_leaves(entries: DataFrame) -> DataFrame:
-    """Digests of each touched leaf bucket in the snapshot before the cut and in the one at it: ``cut, node, was, became``."""
-    pair = lambda a, b: F.concat_ws(":", F.bit_xor(F.xxhash64("key", a)), F.bit_xor(F.xxhash64("key", b)))
-    return entries.groupBy("cut", F.col("bucket").alias("node")).agg(pair("was", "was2").alias("was"), pair("became", "became2").alias("became"))
+    The digest is a sum over the bucket's keys, independent of order, in twice 64 bits. A bucket in which a key was
+    delivered with several states gets a digest that no other period has.
+    """
+    half = lambda *c: F.bit_xor(F.xxhash64(*c)).cast("string")
+    mixed = F.when(F.max(F.col("low") != F.col("high")), F.col("cut").cast("string"))
+    leaves = digests.groupBy("cut", F.pmod("k", F.lit(buckets)).cast("bigint").alias("node")).agg(F.concat_ws(":", half("k", "low"), half("low", "k"), mixed).alias("became"))
+    return leaves.withColumn("was", F.coalesce(F.lag("became").over(Window.partitionBy("node").orderBy("cut")), F.lit("")))
 
 
 def merkle_parents(children: DataFrame, fanout: int) -> DataFrame:
-    """The level above: a node's digest covers its children's numbers and digests in order."""
-    digest = lambda c: F.sha2(F.to_json(F.array_sort(F.collect_list(F.struct("node", c)))), 256)
-    return children.groupBy("cut", F.floor(F.col("node") / fanout).cast("int").alias("parent")).agg(digest("was").alias("was"), digest("became").alias("became")).withColumnRenamed("parent", "node")
+    """The level above: a node's digests cover its children's numbers and digests in order."""
+    digest = lambda c: F.sha2(F.to_json(F.array_sort(F.collect_list(F.struct("node", F.col(c).alias("digest"))))), 256)
+    return children.groupBy("cut", F.floor(F.col("node") / fanout).cast("bigint").alias("parent")).agg(digest("was").alias("was"), digest("became").alias("became")).withColumnRenamed("parent", "node")
 
 
 def differing_leaves(leaves: DataFrame, depth: int, fanout: int) -> DataFrame:
@@ -70,37 +67,57 @@ def differing_leaves(leaves: DataFrame, depth: int, fanout: int) -> DataFrame:
     found = levels[-1].filter("was != became").select("cut", "node")
     for level in reversed(levels[:-1]):
         parents = found.select("cut", F.col("node").alias("parent"))
-        found = level.withColumn("parent", F.floor(F.col("node") / fanout).cast("int")).join(parents, ["cut", "parent"], "left_semi").filter("was != became").select("cut", "node")
+        found = level.withColumn("parent", F.floor(F.col("node") / fanout).cast("bigint")).join(parents, ["cut", "parent"], "left_semi").filter("was != became").select("cut", "node")
     return found
 
 
-def changed_entities(entries: DataFrame, depth: int, fanout: int) -> DataFrame:
-    """``key, cut, before`` of the entities whose state differs between the snapshots around a cut."""
-    leaves = differing_leaves(cut_lineage(merkle_leaves(entries)), depth, fanout).withColumnRenamed("node", "bucket")
-    return entries.join(leaves, ["cut", "bucket"], "left_semi").filter("before is null or was != became or was2 != became2").select("key", "cut", "before")
+def changed_rows(log: DataFrame, period_us: int = DAY, leaf_keys: int = 1, fanout: int = 16) -> DataFrame:
+    """The rows of the log that lie in differing leaves; all others repeat a state already held.
 
+    There is a leaf bucket for every ``leaf_keys`` keys or so, and as many levels as those need: both grow with the data.
+    """
+    rows = delivered_rows(log, period_us)
+    # some 20 bytes a key and period stand for the log up to the leaves, which every level of the trees reads again
+    digests = cut_lineage(entity_digests(rows))
+    keys = digests.agg(F.approx_count_distinct("k").alias("n")).first().n
+    buckets = max(1, -(-keys // leaf_keys))
+    leaves = cut_lineage(merkle_leaves(digests, buckets))
+    found = differing_leaves(leaves, max(1, math.ceil(math.log(buckets, fanout))), fanout)
+    return rows.withColumn("node", F.pmod("k", F.lit(buckets)).cast("bigint")).join(found, ["cut", "node"], "left_semi").select("key", "cut", "t", "tie", "value", "closed_at")
 
-def entity_history(log: DataFrame, period_us: int = DAY, depth: int = 3, fanout: int = 16) -> DataFrame:
-    """``key, value, valid_from, valid_to`` (microseconds; valid_to null while open) of every version of every entity.
 
-    ``log`` has ``key, t, tie, value, closed_at``. Rows of a key are taken by t, of equal t the one with the highest
-    tie. A row with closed_at ends the open version at closed_at and opens none; any other opens a version at its t if
-    none is open or the open one has another value, and ends that one at the same time. A null value is a value of its
-    own. Rows without key or t belong to no history; late rows and repeated ones change nothing, since the log is taken
-    by time. A value that returns opens a new version. An empty log has no versions.
+def append_versions(changed: DataFrame) -> DataFrame:
+    """``key, value, valid_from, valid_to`` of the versions that begin in the given rows.
+
+    Runs of one state are found within an entity's period. One summary row per entity and period tells the next period
+    what was held before it, and the earlier ones when what they left open ends.
     """
-    # both are far smaller than the log, and every level of the trees reads them again
-    runs = cut_lineage(_runs(log.select("key", "t", "tie", "value", "closed_at").filter("key is not null and t is not null"), period_us))
-    changed = changed_entities(snapshot_entries(runs, fanout**depth), depth, fanout)
-    # new versions of the changed entities; a first run that only goes on from the period before is none
-    new = runs.join(changed, ["key", "cut"]).filter(~((F.col("run") == 1) & F.col("before").eqNullSafe(F.col("state"))))
-    ends = F.coalesce("closed_at", "t")
+    one = changed.groupBy("key", "cut", "t").agg(F.max(F.struct("tie", "value", "closed_at")).alias("r")).select("key", "cut", "t", "r.value", "r.closed_at")
     w = Window.partitionBy("key", "cut").orderBy("t")
-    new = new.withColumn("ends", ends).withColumn("next_end", F.lead("ends").over(w))
-    # the first change of the entity's next period with changes ends what is open at the end of this one
-    first = new.groupBy("key", "cut").agg(F.min_by("ends", "run").alias("first_end"))
-    first = first.withColumn("later_end", F.lead("first_end").over(Window.partitionBy("key").orderBy("cut"))).select("key", "cut", "later_end")
-    return new.filter(F.col("state") != CLOSED).join(first, ["key", "cut"]).select("key", "value", F.col("t").alias("valid_from"), F.coalesce("next_end", "later_end").alias("valid_to"))
+    runs = one.withColumn("state", _state()).withColumn("last", F.lag("state").over(w)).filter(~F.col("last").eqNullSafe(F.col("state")))
+    # read again by the summary below
+    runs = cut_lineage(runs.withColumn("run", F.row_number().over(w)).withColumn("ends", F.coalesce("closed_at", "t")).withColumn("next_end", F.lead("ends").over(w)))
+    held = runs.groupBy("key", "cut").agg(F.min_by("state", "run").alias("first"), F.max_by("state", "run").alias("last"), F.min_by("ends", "run").alias("end1"), F.min_by("next_end", "run").alias("end2"))
+    by_cut = Window.partitionBy("key").orderBy("cut")
+    before = F.lag("last").over(by_cut)
+    # a first run that only goes on from the period before is no version; then the second is the first to end what was open
+    held = held.withColumn("before", before).withColumn("ends_open", F.when(F.col("before").eqNullSafe(F.col("first")), F.col("end2")).otherwise(F.col("end1")))
+    later = Window.partitionBy("key").orderBy(F.desc("cut")).rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select("key", "cut", "before", F.last("ends_open", ignorenulls=True).over(later).alias("later_end"))
+    new = runs.filter(F.col("state") != CLOSED).join(held, ["key", "cut"]).filter(~((F.col("run") == 1) & F.col("before").eqNullSafe(F.col("state"))))
+    return new.select("key", "value", F.col("t").alias("valid_from"), F.coalesce("next_end", "later_end").alias("valid_to"))
+
+
+def entity_history(log: DataFrame, period_us: int = DAY, leaf_keys: int = 1, fanout: int = 16) -> DataFrame:
+    """``key, value, valid_from, valid_to`` (microseconds; valid_to null while open) of every version of every entity.
+
+    ``log`` has ``key, t, tie, value, closed_at``; other columns are ignored. Rows of a key are taken by t, of equal t
+    the one with the highest tie. A row with closed_at ends the open version at closed_at and opens none; any other
+    opens a version at its t if none is open or the open one has another value, and ends that one at the same time. A
+    null value is a value of its own. Rows without key or t belong to no history; late rows and repeated ones change
+    nothing, since the log is taken by time. A value that returns opens a new version. An empty log has no versions.
+    """
+    return append_versions(changed_rows(log, period_us, leaf_keys, fanout))
 
 
 def whole_seconds(us: Column) -> Column:

@@ -1,6 +1,7 @@
 import random
 
-from skyloom.operators.history import differing_leaves, entity_history, merkle_leaves, snapshot_entries, _runs
+from skyloom.operators import history as h
+from skyloom.operators.history import entity_history
 
 SCHEMA = "key string, t bigint, tie bigint, value string, closed_at bigint, cut string, run int"
 
@@ -32,7 +33,7 @@ def test_random_against_brute_force(spark):
     rng = random.Random(11)
     for period in (5, 40, 10_000):
         rows = [(rng.choice("abcdefghij"), rng.randrange(-50, 200), i, rng.choice(["x", "y", "z", None]), rng.choice([None] * 6 + [rng.randrange(0, 250)])) for i in range(400)]
-        assert history(spark, rows + rows[:30], period_us=period, depth=2, fanout=3) == brute(rows)
+        assert history(spark, rows + rows[:30], period_us=period, fanout=3) == brute(rows)
 
 
 def test_returning_value_retirement_and_repeats(spark):
@@ -45,10 +46,32 @@ def test_empty_and_null_keys(spark):
     assert history(spark, [(None, 1, 1, "x", None), ("a", None, 1, "x", None)]) == set()
 
 
-def test_only_differing_branches_are_descended(spark):
-    rows = [(f"k{i}", t, t, "same", None) for i in range(40) for t in (0, 10)] + [("k7", 11, 99, "new", None)]
-    log = spark.createDataFrame([(*r, "", 1) for r in rows], SCHEMA).drop("cut", "run")
-    entries = snapshot_entries(_runs(log, 10), 27)
-    found = {(r.cut, r.node) for r in differing_leaves(merkle_leaves(entries), 3, 3).collect()}
-    home = {(r.cut, r.bucket) for r in entries.filter("key = 'k7'").collect()}
-    assert {x for x in found if x[0] == 1} == {x for x in home if x[0] == 1}  # of the second cut, the one bucket with a change
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "", 1) for r in rows], SCHEMA).drop("cut", "run")
+
+
+def test_only_differing_leaves_are_read(spark):
+    rows = [(f"k{i}", t, t, "same", None) for i in range(400) for t in (0, 10, 20)] + [("k7", 21, 99, "new", None), ("k8", 25, 100, "x", None), ("k8", 26, 101, "same", None)]
+    read = h.changed_rows(frame(spark, rows), 10, fanout=3).collect()
+    assert sum(r.cut == 0 for r in read) == 400  # all is new in the first delivery
+    assert not [r for r in read if r.cut == 1]  # the second repeats the first: no entity row is read
+    later = {r.key for r in read if r.cut == 2}
+    assert {"k7", "k8"} <= later and len(later) < 40  # of the third only the leaves of the changed ones
+
+
+def test_without_the_descent_nothing_is_found(spark, monkeypatch):
+    rows = [("a", 1, 1, "x", None), ("a", 30, 2, "y", None)]
+    monkeypatch.setattr(h, "differing_leaves", lambda leaves, *_: leaves.filter("false").select("cut", "node"))
+    assert history(spark, rows, period_us=10) == set()
+
+
+def test_unchanged_deliveries_change_no_root(spark):
+    rows = [(f"k{i}", t, t, "v", None) for i in range(50) for t in (0, 10)]
+    leaves = h.merkle_leaves(h.entity_digests(h.delivered_rows(frame(spark, rows), 10)), 9)
+    roots = h.merkle_parents(h.merkle_parents(leaves, 3), 3).collect()
+    assert {(r.cut, r.was == r.became) for r in roots} == {(0, False), (1, True)}
+
+
+def test_a_state_that_comes_and_goes_within_a_period_is_found(spark):
+    rows = [("a", t, t, "x", None) for t in (0, 10, 20)] + [("a", 12, 50, "y", None), ("a", 13, 51, "x", None)]
+    assert history(spark, rows, period_us=10) == {("a", "x", 0, 12), ("a", "y", 12, 13), ("a", "x", 13, None)}
