@@ -1,11 +1,29 @@
-"""Locations near other locations: Z-order cells, a join on sorted cell codes, an exact distance test."""
+"""Locations near other locations, or inside regions: codes along a space-filling curve, discs as ranges of codes, a join
+of the ranges with the sorted codes, an exact test.
+
+Every point has one code of the finest level. Every disc, and the disc around every region, is covered by a few ranges
+of codes. Coarse cells, which are prefixes of codes, share the work out; within a task ranges and points are sorted by
+code and merged in one sweep, so a range meets the points between its ends and no others. A coarse cell that holds too
+much is split: its points into parts and its ranges into parts, each part of the one meeting each of the other.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions import cells
+from skyloom.session import cut_lineage, maybe_broadcast
+
+FINER = 1  # levels below the one as wide as a disc: the cover of a disc has at most some 4 x 4 cells of a face
+BUCKET_LEVEL = 8  # cells of about a third of a degree, 393,216 of them; coarser for larger discs
+PAIRS = 500_000  # tested at a time
+SWEEP = "salt bigint, code bigint, is_point boolean, hi bigint, loc string, ra double, dec double, radius double, corners array<double>, both boolean"
 
 
 def positions(df: DataFrame) -> DataFrame:
@@ -14,18 +32,161 @@ def positions(df: DataFrame) -> DataFrame:
     return df.select("loc", F.col("ra").cast("double").alias("ra"), F.col("dec").cast("double").alias("dec")).filter(F.col("loc").isNotNull() & finite[0] & finite[1]).distinct()
 
 
-def near_pairs(left: DataFrame, right: DataFrame, radius_deg: float) -> DataFrame:
-    """Distinct ``loc_a, loc_b`` (the smaller string first) with a position of each at most ``radius_deg`` apart, never a location with itself.
+def regions(df: DataFrame) -> DataFrame:
+    """Distinct ``loc, ra, dec, radius, corners`` of ``loc, region``: a circle, or a polygon with the circle around it.
+
+    Texts are ``CIRCLE [frame] ra dec radius`` and ``POLYGON [frame] ra dec ra dec ...`` in degrees, the radius below
+    35. A text that is none of these, or has other than finite numbers, is no region.
+    """
+    number = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
+    text = df.select("loc", F.upper(F.trim("region")).alias("region")).filter("loc is not null and region is not null").distinct()
+    n = F.transform(F.regexp_extract_all(F.regexp_replace("region", r"^(CIRCLE|POLYGON)(\s+[A-Z][A-Z0-9]*)?", ""), F.lit(f"({number})"), F.lit(1)), lambda x: x.cast("double"))
+    parsed = text.filter(F.col("region").rlike(rf"^(CIRCLE|POLYGON)(\s+[A-Z][A-Z0-9]*)?(\s+{number})+$")).select("loc", F.col("region").startswith("CIRCLE").alias("is_circle"), n.alias("n"))
+    circles = parsed.filter("is_circle and size(n) = 3 and get(n, 2) >= 0 and get(n, 2) < 35").select("loc", F.col("n")[0].alias("ra"), F.col("n")[1].alias("dec"), F.col("n")[2].alias("radius"), F.lit(None).cast("array<double>").alias("corners"))
+    polygons = parsed.filter("not is_circle and size(n) >= 6 and size(n) % 2 = 0").withColumn("at", F.expr("sequence(0, cast(size(n) / 2 as int) - 1)"))
+    mean = lambda f: F.aggregate(F.transform("at", f), F.lit(0.0), lambda a, b: a + b)
+    ra, dec = (lambda k: F.radians(F.get("n", 2 * k))), (lambda k: F.radians(F.get("n", 2 * k + 1)))
+    polygons = polygons.withColumns({"x": mean(lambda k: F.cos(dec(k)) * F.cos(ra(k))), "y": mean(lambda k: F.cos(dec(k)) * F.sin(ra(k))), "z": mean(lambda k: F.sin(dec(k)))})
+    polygons = polygons.select("loc", "n", "at", F.degrees(F.atan2("y", "x")).alias("ra"), F.degrees(F.atan2(F.col("z"), F.hypot("x", "y"))).alias("dec"))
+    reach = F.array_max(F.transform("at", lambda k: cells.separation_deg(F.col("ra"), F.col("dec"), F.get("n", 2 * k), F.get("n", 2 * k + 1)))) * (1 + 1e-9)
+    polygons = polygons.select("loc", "ra", "dec", reach.alias("radius"), F.col("n").alias("corners")).filter("radius < 35")
+    return circles.unionByName(polygons)
+
+
+def _distance(ra1: np.ndarray, dec1: np.ndarray, ra2: np.ndarray, dec2: np.ndarray) -> np.ndarray:
+    d1, d2 = np.radians(dec1), np.radians(dec2)
+    h = np.sin((d2 - d1) / 2) ** 2 + np.cos(d1) * np.cos(d2) * np.sin(np.radians(ra2 - ra1) / 2) ** 2
+    return np.degrees(2 * np.arcsin(np.minimum(1.0, np.sqrt(h))))
+
+
+def in_polygon(ra: np.ndarray, dec: np.ndarray, corners: list[float], ra0: float, dec0: float) -> np.ndarray:
+    """Whether points lie inside a polygon whose sides are great circles: straight lines on the plane that touches the sphere at its middle."""
+
+    def plane(a: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        a, d, d0 = np.radians(a - ra0), np.radians(d), np.radians(dec0)
+        ahead = np.sin(d0) * np.sin(d) + np.cos(d0) * np.cos(d) * np.cos(a)
+        with np.errstate(all="ignore"):
+            return np.cos(d) * np.sin(a) / ahead, (np.cos(d0) * np.sin(d) - np.sin(d0) * np.cos(d) * np.cos(a)) / ahead, ahead
+
+    c = np.array(corners, float)
+    cx, cy, _ = plane(c[::2], c[1::2])
+    x, y, ahead = plane(ra, dec)
+    x1, y1, x2, y2 = cx, cy, np.roll(cx, -1), np.roll(cy, -1)
+    with np.errstate(all="ignore"):
+        crosses = ((y1 > y[:, None]) != (y2 > y[:, None])) & (x[:, None] < (x2 - x1) * (y[:, None] - y1) / (y2 - y1) + x1)
+    return (crosses.sum(1) % 2 == 1) & (ahead > 0)
+
+
+def _pairs(ranges: pa.Table, points: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The pairs that pass the exact test, of ranges and points of one part, points sorted by code."""
+    codes, n = points["code"].to_numpy(), ranges.num_rows
+    low = np.searchsorted(codes, ranges["code"].to_numpy(), "left")
+    high = np.searchsorted(codes, ranges["hi"].to_numpy(), "right")
+    met = np.maximum(high - low, 0)
+    r_ra, r_dec, reach = (ranges[k].to_numpy() for k in ("ra", "dec", "radius"))
+    p_ra, p_dec = points["ra"].to_numpy(), points["dec"].to_numpy()
+    shaped = ranges["corners"].is_valid().to_numpy()
+    before = np.append(0, np.cumsum(met))
+    for a in range(0, int(before[-1]), PAIRS):
+        flat = np.arange(a, min(a + PAIRS, int(before[-1])))
+        r = np.searchsorted(before, flat, "right") - 1
+        p = low[r] + flat - before[r]
+        ok = _distance(r_ra[r], r_dec[r], p_ra[p], p_dec[p]) <= reach[r]
+        r, p = r[ok], p[ok]
+        if shaped.any() and len(r):
+            inside = np.ones(len(r), bool)
+            for k in np.unique(r[shaped[r]]):
+                mine = r == k
+                inside[mine] = in_polygon(p_ra[p[mine]], p_dec[p[mine]], ranges["corners"][int(k)].as_py(), r_ra[k], r_dec[k])
+            r, p = r[inside], p[inside]
+        if not len(r):
+            continue
+        one, other, twice = ranges["loc"].take(pa.array(r)), points["loc"].take(pa.array(p)), points["both"].take(pa.array(p))
+        # two discs meet each other twice; one of the two is enough
+        keep = pc.and_(pc.not_equal(one, other), pc.or_(pc.invert(twice), pc.less(one, other)))
+        out = pa.table({"disc": one, "point": other}).filter(keep).combine_chunks()
+        yield from out.to_batches()
+
 
-    Both sides are ``loc, ra, dec`` as from positions(). The right side gets one cell code per position; each left
-    position's disc is covered with the codes it meets, at a level where cells are just wider than the disc, so that
-    a code is the range of all finer positions below it and the range join is a sort-merge join on equal codes. What
-    a cell holds beyond the disc is a constant factor; adaptive execution splits cells that hold far more than
-    others. An empty side gives an empty result.
+def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merge ranges and points that come sorted by salt, code, ranges first; ranges stay open until a code beyond their end."""
+    open_, salt = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        salts = t["salt"].to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(salts)) + 1).tolist(), len(salts)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            part = t.slice(a, b - a)
+            new = part.filter(pc.invert(part["is_point"]))
+            if open_ is None or salts[a] != salt:
+                open_, salt = new, salts[a]
+            else:
+                open_ = pa.concat_tables([open_, new])
+            open_ = open_.combine_chunks()
+            points = part.filter(part["is_point"]).combine_chunks()
+            if points.num_rows and open_.num_rows:
+                yield from _pairs(open_, points)
+            open_ = open_.filter(pc.greater_equal(open_["hi"], part["code"][-1]))
+
+
+def _range_join(discs: DataFrame, points: DataFrame, bucket_level: int, rows_per_task: int) -> DataFrame:
+    """``disc, point`` of every disc and point that pass the exact test; a pair may come several times."""
+    held = points.select("bucket", F.lit(1).alias("p"), F.lit(0).alias("r")).unionByName(discs.select("bucket", F.lit(0).alias("p"), F.lit(1).alias("r"))).groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
+    parts = lambda c: F.ceil(F.col(c) / rows_per_task).cast("int")
+    # at most one for every rows_per_task rows
+    crowded = maybe_broadcast(held.filter((F.col("p") > rows_per_task) | (F.col("r") > rows_per_task)).select("bucket", F.greatest(parts("p"), F.lit(1)).alias("p_parts"), F.greatest(parts("r"), F.lit(1)).alias("r_parts")))
+
+    def split(df: DataFrame, mine: str, other: str) -> DataFrame:
+        df = df.join(crowded, "bucket", "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("p_parts", "r_parts")})
+        own = F.pmod(F.xxhash64("loc", "ra", "dec"), F.col(f"{mine}_parts")).cast("bigint")
+        df = df.withColumn("own", own).withColumn("met", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{other}_parts").cast("bigint") - 1)))
+        number = F.col("own") * F.col("r_parts") + F.col("met") if mine == "p" else F.col("met") * F.col("r_parts") + F.col("own")
+        return df.withColumn("salt", number)
+
+    cols = ["bucket", *(c.split()[0] for c in SWEEP.split(", "))]
+    left = split(discs, "r", "p").withColumns({"is_point": F.lit(False), "both": F.lit(False)}).select(*cols)
+    right = split(points, "p", "r").withColumns({"is_point": F.lit(True), "hi": F.lit(None).cast("bigint"), "radius": F.lit(None).cast("double"), "corners": F.lit(None).cast("array<double>")}).select(*cols)
+    rows = left.unionByName(right).repartition("bucket", "salt").sortWithinPartitions("salt", "code", "is_point").drop("bucket")
+    return rows.mapInArrow(sweep, "disc string, point string")
+
+
+def _coded(df: DataFrame, bucket_level: int) -> DataFrame:
+    df = df.withColumn("code", cells.point_cell(cells.unit_vector(F.col("ra"), F.col("dec"))))
+    return df.withColumn("bucket", cells.bucket_of(F.col("code"), bucket_level))
+
+
+def _covered(discs: DataFrame, bucket_level: int) -> DataFrame:
+    """Discs of ``loc, ra, dec, radius, corners`` as a row for every range of codes."""
+    level = F.greatest(F.lit(bucket_level), F.least(F.lit(cells.FINEST), cells.level_of(F.col("radius")) + FINER))
+    met = discs.withColumn("level", level).withColumn("cells", cells.disc_cells(cells.unit_vector(F.col("ra"), F.col("dec")), F.col("radius"), F.col("level")))
+    ranges = met.select("loc", "ra", "dec", "radius", "corners", F.explode(cells.code_ranges(F.col("cells"), F.col("level"), bucket_level)).alias("x"))
+    return ranges.select("loc", "ra", "dec", "radius", "corners", F.col("x.lo").alias("code"), F.col("x.hi").alias("hi"), cells.bucket_of(F.col("x.lo"), bucket_level).alias("bucket"))
+
+
+def near_pairs(left: DataFrame, right: DataFrame, radius_deg: float, rows_per_task: int = 200_000) -> DataFrame:
+    """Distinct ``loc_a, loc_b`` (the smaller string first): two left locations, or a left and a right one, with a position of each at most ``radius_deg`` apart.
+
+    Both sides are ``loc, ra, dec`` as from positions(); a location is never paired with itself, two right ones never
+    with each other. Empty sides give an empty result. ``rows_per_task`` is the size above which a coarse cell is split.
     """
-    level = cells.level_for(radius_deg)
-    points = right.select(F.col("loc").alias("r_loc"), F.col("ra").alias("r_ra"), F.col("dec").alias("r_dec"), cells.point_cell(cells.unit_vector(F.col("ra"), F.col("dec")), level).alias("cell"))
-    discs = left.select("loc", "ra", "dec", F.explode(cells.disc_cells(cells.unit_vector(F.col("ra"), F.col("dec")), radius_deg, level)).alias("cell"))
-    hits = discs.join(points, "cell").filter((F.col("loc") != F.col("r_loc")) & (cells.separation_deg(F.col("ra"), F.col("dec"), F.col("r_ra"), F.col("r_dec")) <= radius_deg))
-    return hits.select(F.least("loc", "r_loc").alias("loc_a"), F.greatest("loc", "r_loc").alias("loc_b")).distinct()
+    bucket_level = min(BUCKET_LEVEL, cells.level_for(radius_deg))
+    # each side is read and given codes once; the count of crowded cells and the join go on from there
+    left = cut_lineage(_coded(left, bucket_level))
+    points = left.withColumn("both", F.lit(True)).unionByName(cut_lineage(_coded(right, bucket_level)).withColumn("both", F.lit(False)))
+    discs = _covered(left.select("loc", "ra", "dec", F.lit(float(radius_deg)).alias("radius"), F.lit(None).cast("array<double>").alias("corners")), bucket_level)
+    hits = _range_join(discs, points, bucket_level, rows_per_task)
+    return hits.select(F.least("disc", "point").alias("loc_a"), F.greatest("disc", "point").alias("loc_b")).distinct()
 
+
+def containing_regions(points: DataFrame, areas: DataFrame, rows_per_task: int = 200_000) -> DataFrame:
+    """Distinct ``loc, region_loc`` of points and the regions that hold them, borders of circles included.
+
+    ``points`` is ``loc, ra, dec`` as from positions(), ``areas`` as from regions(). Regions of any sizes may be mixed.
+    """
+    areas = cut_lineage(areas)
+    largest = areas.agg(F.max("radius").alias("r")).first().r
+    bucket_level = min(BUCKET_LEVEL, cells.level_for(largest or 0.0))
+    points = cut_lineage(_coded(points, bucket_level)).withColumn("both", F.lit(False))
+    return _range_join(_covered(areas, bucket_level), points, bucket_level, rows_per_task).select(F.col("point").alias("loc"), F.col("disc").alias("region_loc")).distinct()

@@ -1,14 +1,15 @@
-"""Implausible readings, judged by their own source: physical limits, frozen values, and isolation forests.
+"""Implausible readings, judged by their own source: isolation forests, physical limits and frozen values.
 
 The readings of a source are scored by an isolation forest of that source on four features per field: level (distance
-from the source's smooth curve over wavelength in units of its usual scatter), difference (step from the reading
-before in the run), season (distance from readings of similar wavelength) and run length (readings in a row with one
-value). Candidates of the forest then pass an exact test against the source's scatter.
-
-A source of up to ``block_rows`` readings is one block. A larger one is split by run into blocks of about that size:
-first every block is fitted, the fits are merged into one curve and scatter for the source, and then every block is
-scored against the merged fit, its trees sampling its own random share of the source. So no task ever holds more than
-a block of one source.
+from the running median over wavelength, or over time for what does not depend on wavelength), difference (the smaller
+of the steps from the reading before and to the one after), season (distance from the readings nearest in wavelength)
+and run length (readings in a row with one value). The forest decides: readings that it isolates no sooner than usual
+are the source's ordinary ones, and only they make its curve and scatter; the others are candidates, and only they are
+tested against that curve and scatter.
+
+A source of many readings is split into blocks, each with a forest of its own that samples its share of the source.
+Curve and scatter come from sums over the ordinary readings of all blocks, so they are the same least squares whether
+a source is one block or many, and no task ever holds more than a block of one source.
 """
 
 from __future__ import annotations
@@ -22,17 +23,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions.forest import forest_scores
-from skyloom.session import cut_lineage
+from skyloom.session import cut_lineage, maybe_broadcast
 
 FIELDS = ("point_flux_uJy", "wavelength_um", "chi2_reduced")
+JUDGED = ("point_flux_uJy", "chi2_reduced")
 WAVELENGTHS = (0.7, 5.1)
 FROZEN = 5  # readings in a row
 SCATTERS = 10.0
 LEAST = 20  # distinct readings of a source
 TERMS = 5  # of the curve over wavelength
-BROADCAST_ROWS = 50_000  # of large sources, about 10 MB with their fits
-FIT = "source_id string, block int, n bigint, n_flux bigint, coef array<double>, var_flux double, n_chi2 bigint, mean_chi2 double, var_chi2 double"
-SCORES = "measurement_id string, source_id string, field_name string, value double, score double, scatters double, reason string"
+ORDINARY = 0.36  # readings with a lower score are ordinary
+POWERS = 2 * TERMS - 1
+SUMS = POWERS + TERMS + 1  # of the powers of wavelength, of their products with the value, and of its square
+PARTS = "source_id string, block bigint, measurement_id string, field_name string, value double, wavelength double, score double, reason string, n bigint, sums array<double>"
+FIT = "source_id string, field_name string, n bigint, coef array<double>, scatter double"
 
 
 def six_digits(v: np.ndarray) -> np.ndarray:
@@ -57,60 +61,9 @@ def run_lengths(value: np.ndarray, run: np.ndarray) -> np.ndarray:
     return out
 
 
-def _terms(w: np.ndarray, n: int) -> np.ndarray:
-    return np.vander((w - 2.9) / 2.2, n, increasing=True)
-
-
-def fit_curve(w: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float, int]:
-    """A smooth curve over wavelength and the variance of the ordinary readings about it; outliers are set aside in turns."""
-    coef = np.zeros(TERMS)
-    n = len(y)
-    if n < 8:
-        if n:
-            coef[0] = np.median(y)
-        return coef, float(np.var(y)) if n > 1 else 0.0, n
-    order = np.argsort(w, kind="stable")
-    parts = [p for p in np.array_split(order, max(2, min(8, n // 6)))]
-    start = np.interp(w, [np.median(w[p]) for p in parts], [np.median(y[p]) for p in parts])
-    rest = np.abs(y - start)
-    ok = rest <= 8 * 1.4826 * np.median(rest) + 1e-300
-    terms = TERMS if n >= 60 else 4 if n >= 30 else 3
-    a = _terms(w, terms)
-    for _ in range(12):
-        if ok.sum() < terms + 3:
-            break
-        b = a[ok]
-        try:
-            c = np.linalg.solve(b.T @ b, b.T @ y[ok])
-        except np.linalg.LinAlgError:
-            break
-        rest = y - a @ c
-        var = float(rest[ok] @ rest[ok]) / max(int(ok.sum()) - terms, 1)
-        again = np.abs(rest) <= 5 * np.sqrt(var) + 1e-300
-        coef[:terms] = c
-        if (again == ok).all():
-            return coef, var, int(ok.sum())
-        ok = again
-    if not coef.any():
-        coef[0] = np.median(y)
-        return coef, float((1.4826 * np.median(np.abs(y - coef[0]))) ** 2), n
-    return coef, var, int(ok.sum())
-
-
-def fit_level(y: np.ndarray) -> tuple[float, float, int]:
-    """Mean and variance of the ordinary readings."""
-    if not len(y):
-        return 0.0, 0.0, 0
-    ok = np.ones(len(y), bool)
-    mid = np.median(y)
-    ok = np.abs(y - mid) <= 8 * 1.4826 * np.median(np.abs(y - mid)) + 1e-300
-    for _ in range(12):
-        mean, var = float(y[ok].mean()), float(y[ok].var(ddof=1)) if ok.sum() > 1 else 0.0
-        again = np.abs(y - mean) <= 5 * np.sqrt(var) + 1e-300
-        if (again == ok).all() or not again.any():
-            break
-        ok = again
-    return mean, var, int(ok.sum())
+def _place(w: np.ndarray) -> np.ndarray:
+    """Wavelengths on a scale from -1 to 1."""
+    return (w - 2.9) / 2.2
 
 
 def _as_before(t: pa.Table, column: str) -> np.ndarray:
@@ -147,177 +100,211 @@ class Chunk:
             out["chi2_reduced"] |= c < 0
         self.limit = out
         self.usable = {f: ~self.null[f] & ~self.limit[f] & ~self.frozen[f] for f in FIELDS}
-
-    def fits(self, skip: np.ndarray | None = None) -> Iterator[tuple | None]:
-        """Count, curve and level of each block by its own readings; None for those to skip."""
-        flux, w, chi = (self.value[f] for f in FIELDS)
-        curve_ok = self.usable["point_flux_uJy"] & self.usable["wavelength_um"]
-        for i, (a, n) in enumerate(zip(self.starts, self.sizes, strict=True)):
-            if skip is not None and skip[i]:
-                yield None
-                continue
-            s = slice(a, a + n)
-            k, m = curve_ok[s], self.usable["chi2_reduced"][s]
-            coef, var, n_flux = fit_curve(w[s][k], flux[s][k])
-            yield (int(n), n_flux, coef, var, *fit_level(chi[s][m]))
+        self.seeds = t["seed"].to_numpy().view(np.uint64)[self.starts] if self.n else np.zeros(0, np.uint64)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], least: int = 30_000) -> Iterator[Chunk]:
     """Whole blocks at a time from sorted batches; a block is bounded, so is what is kept back."""
     kept: list[pa.RecordBatch] = []
+    rows, wanted = 0, least
     for batch in batches:
         kept.append(batch)
-        if sum(b.num_rows for b in kept) < least:
+        rows += batch.num_rows
+        if rows < wanted:
             continue
         t = pa.Table.from_batches(kept).combine_chunks()
-        key = t.select(["source_id", "block"])
-        end = len(t) - 1
-        last = key.slice(end, 1).to_pylist()[0]
-        whole = pc.and_kleene(pc.equal(t["block"], last["block"]), pc.equal(t["source_id"], last["source_id"]) if last["source_id"] is not None else pc.is_null(t["source_id"]))
-        at = pc.index(whole, True).as_py()
+        last = t.slice(len(t) - 1, 1)
+        mine = pc.and_kleene(pc.equal(t["block"], last["block"][0]), pc.equal(t["source_id"], last["source_id"][0]) if last["source_id"][0].is_valid else pc.is_null(t["source_id"]))
+        at = pc.index(mine, True).as_py()
         if at:
             yield Chunk(t.slice(0, at))
-            kept = t.slice(at).to_batches()
-        else:
-            kept = t.to_batches()
-    if kept and sum(b.num_rows for b in kept):
+        kept = t.slice(at).to_batches()
+        rows = len(t) - at
+        wanted = max(least, 2 * rows)
+    if rows:
         yield Chunk(pa.Table.from_batches(kept))
 
 
-def _fit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for c in _chunks(batches):
-        fits = list(c.fits())
-        names = ("n", "n_flux", "coef", "var_flux", "mean_chi2", "var_chi2", "n_chi2")
-        cols = {k: [f[i] for f in fits] for i, k in enumerate(names)}
-        at = pa.array(c.starts)
-        yield pa.RecordBatch.from_pydict({
-            "source_id": c.table["source_id"].combine_chunks().take(at), "block": c.table["block"].combine_chunks().take(at), "n": pa.array(cols["n"], pa.int64()), "n_flux": pa.array(cols["n_flux"], pa.int64()),
-            "coef": pa.array([list(map(float, x)) for x in cols["coef"]], pa.list_(pa.float64())), "var_flux": pa.array(cols["var_flux"], pa.float64()),
-            "n_chi2": pa.array(cols["n_chi2"], pa.int64()), "mean_chi2": pa.array(cols["mean_chi2"], pa.float64()), "var_chi2": pa.array(cols["var_chi2"], pa.float64()),
-        })
+def _neighbours(v: np.ndarray, order: np.ndarray, group: np.ndarray, reach: int) -> np.ndarray:
+    """For each value the ``reach`` ones before and after it in an order within its group, NaN beyond the group's ends."""
+    s, g = v[order], group[order]
+    cols = []
+    for d in range(1, reach + 1):
+        same = g[d:] == g[:-d]
+        before, after = np.full(len(v), np.nan), np.full(len(v), np.nan)
+        before[d:][same], after[:-d][same] = s[:-d][same], s[d:][same]
+        cols += [before, after]
+    out = np.empty((len(v), 2 * reach))
+    out[order] = np.stack(cols, axis=1)
+    return out
 
 
-def _squash(z: np.ndarray) -> np.ndarray:
-    z = np.nan_to_num(z, nan=0.0, posinf=1e6, neginf=-1e6)
-    return np.sign(z) * np.log1p(np.minimum(np.abs(z), 1e6))
-
-
-def _season(rest: np.ndarray, w: np.ndarray, c: Chunk) -> np.ndarray:
-    """Distance from the mean of the two neighbours by wavelength in the block."""
-    order = np.lexsort((np.nan_to_num(w, nan=-1.0), c.group))
-    r, g = rest[order], c.group[order]
-    before, after = np.append(0.0, r[:-1]), np.append(r[1:], 0.0)
-    before[np.append(True, g[1:] != g[:-1])] = np.nan
-    after[np.append(g[1:] != g[:-1], True)] = np.nan
-    near = np.where(np.isnan(before), after, np.where(np.isnan(after), before, (before + after) / 2))
-    out = np.empty_like(rest)
-    out[order] = r - np.nan_to_num(near)
+def _medians(m: np.ndarray) -> np.ndarray:
+    """The median of each row without NaN; 0 for a row without values."""
+    s = np.sort(m, axis=1)
+    held = (~np.isnan(s)).sum(axis=1)
+    row = np.arange(len(s))
+    mid = (s[row, np.maximum((held - 1) // 2, 0)] + s[row, np.minimum(held // 2, s.shape[1] - 1)]) / 2
+    return np.where(held > 0, mid, 0.0)
+
+
+def _spread(rest: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """A robust scatter of each group's values."""
+    order = np.lexsort((np.abs(rest), group))
+    size = np.bincount(group, minlength=groups)
+    first = np.cumsum(size) - size
+    out = np.zeros(groups)
+    held = size > 0
+    out[held] = 1.4826 * np.abs(rest[order])[(first + size // 2)[held]]
     return out
 
 
-def _field_scores(z: np.ndarray, w: np.ndarray, c: Chunk, field: str, seeds: np.ndarray) -> np.ndarray:
-    """Forest scores of a field's readings; null readings have none."""
-    z = np.where(c.limit[field] & ~np.isfinite(z), 1e6, z)
-    held = np.flatnonzero(~c.null[field])
+def _squash(z: np.ndarray) -> np.ndarray:
+    """Far values drawn nearer, but kept apart."""
+    z = np.clip(np.nan_to_num(z, nan=0.0, posinf=1e6, neginf=-1e6), -1e6, 1e6)
+    return np.sign(z) * np.where(np.abs(z) < 20, np.abs(z), 20 + 8 * np.log(np.maximum(np.abs(z), 20) / 20))
+
+
+def _field_scores(c: Chunk, field: str, usable: np.ndarray) -> np.ndarray:
+    """Forest scores of a field's readings; null readings have none. Level and scale come from the usable ones."""
     out = np.full(c.n, np.nan)
+    held = np.flatnonzero(~c.null[field])
     if not len(held):
         return out
-    run, zz = c.run[held], z[held]
-    step = np.append(0.0, np.diff(zz))
-    step[np.append(True, run[1:] != run[:-1])] = 0.0
-    season = _season(np.where(np.isfinite(z), z, 0.0), w, c)[held]
-    x = np.stack([_squash(zz), _squash(step), _squash(season), np.log1p(c.length[field][held])], axis=1)
-    g = c.group[held]
+    v, g = c.value[field][held], c.group[held]
+    good = usable[held]
+    along = c.value["wavelength_um"][held] if field == "point_flux_uJy" else held
+    order = np.lexsort((np.where(good, along, np.inf), g))
+    # what is not usable is no neighbour of anything
+    pool = np.where(good, v, np.nan)
+    with np.errstate(all="ignore"):
+        rest = v - _medians(_neighbours(pool, order, g, 5))
+        scale = _spread(np.nan_to_num(rest[good]), g[good], len(c.starts))[g]
+        z = rest / np.maximum(scale, 1e-12 * np.abs(v) + 1e-300)
+        clean = np.where(good, z, np.nan)
+        season = z - _medians(_neighbours(clean, order, g, 2))
+        step = np.abs(np.nan_to_num(z, posinf=1e6, neginf=-1e6)[:, None] - np.nan_to_num(_neighbours(z, np.arange(len(held)), c.run[held], 1), nan=np.inf, posinf=1e6, neginf=-1e6)).min(axis=1)
+        step = np.where(np.isfinite(step), step, 0.0)
+    x = np.stack([_squash(z), _squash(step), _squash(season), np.log1p(c.length[field][held])], axis=1)
     starts = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
-    out[held] = forest_scores(x, starts, seeds[g[starts]])
-    return out
-
-
-def _above_median(score: np.ndarray, c: Chunk) -> np.ndarray:
-    """Candidates: readings that the forest isolates no later than half of its block's."""
-    out = np.zeros(c.n, bool)
-    for a, n in zip(c.starts, c.sizes, strict=True):
-        s = score[a : a + n]
-        held = s[~np.isnan(s)]
-        if len(held):
-            out[a : a + n] = s >= np.median(held)
+    out[held] = forest_scores(x, starts, c.seeds[g[starts]] + np.uint64(FIELDS.index(field)))
     return out
 
 
-def _score(c: Chunk, flagged_only: bool) -> pa.RecordBatch:
-    flux, w, chi = (c.value[f] for f in FIELDS)
-    t = c.table
-    merged = t["n_source"].is_valid().to_numpy()[c.starts]
-    fits = list(c.fits(skip=merged))
-    count, coef, var_f, mean_c, var_c = np.zeros(len(fits)), np.zeros((len(fits), TERMS)), np.zeros(len(fits)), np.zeros(len(fits)), np.zeros(len(fits))
-    for g, (a, own) in enumerate(zip(c.starts, fits, strict=True)):
-        if merged[g]:
-            count[g], coef[g], var_f[g], mean_c[g], var_c[g] = (t[k][int(a)].as_py() for k in ("n_source", "coef", "var_flux", "mean_chi2", "var_chi2"))
+def _moments(c: Chunk, value: np.ndarray, w: np.ndarray, ok: np.ndarray) -> np.ndarray:
+    """SUMS per block over the readings that are ok; with w of 0 they are those of a mean."""
+    at = np.flatnonzero(ok)
+    x, y, g = w[at], value[at], c.group[at]
+    powers = np.vander(x, POWERS, increasing=True)
+    cols = [powers[:, k] for k in range(POWERS)] + [powers[:, k] * y for k in range(TERMS)] + [y * y]
+    return np.stack([np.bincount(g, col, minlength=len(c.starts)) for col in cols], axis=1)
+
+
+def _strings(values: list) -> pa.Array:
+    return pa.array(values, pa.string())
+
+
+def _judge(c: Chunk, flagged_only: bool) -> Iterator[pa.RecordBatch]:
+    """The readings to go on with (flagged ones and candidates, or all) and each block's sums, as rows of PARTS."""
+    t, w = c.table, c.value["wavelength_um"]
+    by_wave = c.usable["wavelength_um"]
+    source, block, name = (t[k].combine_chunks() for k in ("source_id", "block", "measurement_id"))
+    for f in FIELDS:
+        usable = c.usable[f] & by_wave if f == "point_flux_uJy" else c.usable[f]
+        reason = np.select([c.limit[f], c.frozen[f]], ["limit", "frozen"], "")
+        if f in JUDGED:
+            score = _field_scores(c, f, usable)
+            ordinary = usable & (score < ORDINARY)
+            place = np.where(by_wave, _place(w), 0.0) if f == "point_flux_uJy" else np.zeros(c.n)
+            sums = _moments(c, c.value[f], place, ordinary)
+            at = pa.array(c.starts)
+            yield pa.RecordBatch.from_pydict({
+                "source_id": source.take(at), "block": block.take(at), "measurement_id": pa.nulls(len(at), pa.string()), "field_name": _strings([f] * len(at)), "value": pa.nulls(len(at), pa.float64()), "wavelength": pa.nulls(len(at), pa.float64()),
+                "score": pa.nulls(len(at), pa.float64()), "reason": pa.nulls(len(at), pa.string()), "n": pa.array(c.sizes, pa.int64()), "sums": pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * SUMS, pa.int32()), pa.array(sums.ravel().astype(np.float64))),
+            })
+            judged = ~c.null[f] & ~c.limit[f] & c.known & (by_wave if f == "point_flux_uJy" else True)
+            reason = np.where((reason == "") & judged & ~ordinary, "candidate", reason)
         else:
-            count[g], _, coef[g], var_f[g], mean_c[g], var_c[g], _ = own
-    g = c.group
-    with np.errstate(all="ignore"):
-        curve = np.einsum("ij,ij->i", _terms(np.clip(np.nan_to_num(w, nan=2.9), *WAVELENGTHS), TERMS), coef[g])
-        z_flux = (flux - curve) / np.maximum(np.sqrt(var_f[g]), 1e-12 * np.abs(curve) + 1e-300)
-        z_chi = (chi - mean_c[g]) / np.maximum(np.sqrt(var_c[g]), 1e-12 * np.abs(mean_c[g]) + 1e-300)
-        z = {"point_flux_uJy": z_flux, "wavelength_um": (w - 2.9) / 1.3, "chi2_reduced": z_chi}
-    seeds = t["seed"].to_numpy()[c.starts].view(np.uint64)
-    judged = (count >= LEAST)[g] & c.known
-    by_wave = ~c.null["wavelength_um"] & ~c.limit["wavelength_um"] & ~c.frozen["wavelength_um"]
-    parts = []
-    for i, f in enumerate(FIELDS):
-        score = _field_scores(z[f], w, c, f, seeds + np.uint64(i))
-        away = np.zeros(c.n, bool)
-        if f != "wavelength_um":
-            away = judged & ~c.null[f] & (np.abs(z[f]) > SCATTERS) & _above_median(score, c)
-            if f == "point_flux_uJy":
-                away &= by_wave
-        reason = np.select([c.limit[f], c.frozen[f], away], ["limit", "frozen", "outlier"], "")
+            score = np.full(c.n, np.nan) if flagged_only else _field_scores(c, f, usable)
         keep = (reason != "") if flagged_only else ~c.null[f]
         at = pa.array(np.flatnonzero(keep))
-        parts.append(pa.RecordBatch.from_pydict({
-            "measurement_id": t["measurement_id"].combine_chunks().take(at), "source_id": t["source_id"].combine_chunks().take(at), "field_name": pa.array([f] * len(at), pa.string()), "value": pa.array(c.value[f][keep]),
-            "score": pa.array(score[keep]), "scatters": pa.array(np.where(judged, np.abs(z[f]), np.nan)[keep], from_pandas=True), "reason": pa.array([x or None for x in reason[keep].tolist()], pa.string()),
-        }))
-    return pa.Table.from_batches(parts).combine_chunks().to_batches()
+        yield pa.RecordBatch.from_pydict({
+            "source_id": source.take(at), "block": block.take(at), "measurement_id": name.take(at), "field_name": _strings([f] * len(at)), "value": pa.array(c.value[f][keep]),
+            "wavelength": pa.array(np.where(by_wave, w, np.nan)[keep], from_pandas=True), "score": pa.array(score[keep], from_pandas=True), "reason": _strings([x or None for x in reason[keep].tolist()]),
+            "n": pa.nulls(len(at), pa.int64()), "sums": pa.nulls(len(at), pa.list_(pa.float64())),
+        })
 
 
-def _scorer(flagged_only: bool) -> Callable:
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _judge_batches(flagged_only: bool) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in _chunks(batches):
-            yield from _score(c, flagged_only)
+            yield from _judge(c, flagged_only)
+
+    return run
+
+
+def solve(n: np.ndarray, sums: np.ndarray, curved: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least-squares coefficients and scatter of each row of sums; a curve's terms grow with its readings, a mean has one."""
+    ordinary, coef, scatter = sums[:, 0], np.zeros((len(n), TERMS)), np.full(len(n), np.nan)
+    terms = np.where(~curved, 1, np.select([ordinary >= 60, ordinary >= 30, ordinary >= 12], [TERMS, 4, 3], 1))
+    for k in np.unique(terms):
+        mine = np.flatnonzero((terms == k) & (ordinary > k))
+        if not len(mine):
+            continue
+        left = np.stack([sums[mine][:, i : i + k] for i in range(k)], axis=1)
+        right = sums[mine][:, POWERS : POWERS + k]
+        # wavelengths that don't span a curve get the shortest solution
+        c = np.einsum("nij,nj->ni", np.linalg.pinv(left, rcond=1e-12, hermitian=True), right)
+        coef[mine, :k] = c
+        rest = sums[mine][:, -1] - 2 * np.einsum("ni,ni->n", c, right) + np.einsum("ni,nij,nj->n", c, left, c)
+        scatter[mine] = np.sqrt(np.maximum(rest, 0) / (ordinary[mine] - k))
+    return coef, scatter
+
 
-    return score
+def _solve_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sums = np.stack([b.column(f"s{i}").to_numpy(zero_copy_only=False) for i in range(SUMS)], axis=1)
+        coef, scatter = solve(b.column("n").to_numpy(zero_copy_only=False), sums, pc.equal(b.column("field_name"), "point_flux_uJy").to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_pydict({"source_id": b.column("source_id"), "field_name": b.column("field_name"), "n": b.column("n"), "coef": pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * TERMS, pa.int32()), pa.array(coef.ravel())), "scatter": pa.array(scatter)})
 
 
-def _sized(large: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
-    """The list of large sources, and a broadcast for tables of a row each where they are few; else those stay plain joins."""
-    kept = cut_lineage(large)
-    few = kept.count() <= BROADCAST_ROWS
-    return kept, (lambda df: F.broadcast(df)) if few else (lambda df: df)
+def usual_fits(sums: DataFrame) -> DataFrame:
+    """FIT rows: every source's curve or mean and scatter, from the sums of all its blocks."""
+    merged = sums.filter("source_id is not null").groupBy("source_id", "field_name").agg(F.sum("n").alias("n"), *(F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(SUMS)))
+    return merged.mapInArrow(_solve_batches, FIT)
 
 
 def score_readings(m: DataFrame, block_rows: int = 4096, flagged_only: bool = False) -> DataFrame:
-    """SCORES rows: every not-null reading of FIELDS with its forest score, its distance from the usual in scatters, and the reason it is wrong.
+    """``measurement_id, source_id, field_name, value, score, scatters, reason`` of every not-null reading of FIELDS: its forest score, its distance from the usual in scatters, and the reason it is wrong.
 
     ``m`` has ``measurement_id, source_id, photometry_run_id, created_us`` and FIELDS; other columns are ignored. Rows
     repeated exactly count once. Reasons: ``limit`` (not finite, wavelength outside 0.7..5.1, chi2 below 0), ``frozen``
     (one of at least five consecutive values of a source's run that agree to six digits, nulls skipped) and
-    ``outlier`` (flux and chi2 of sources with at least 20 distinct readings: further than ten scatters from the
-    source's curve over wavelength, or its mean). Flux without a usable wavelength is no outlier. Readings without a
-    source are judged by limits only. A null run counts as one run. An empty table has no rows.
+    ``outlier`` (flux and chi2 of sources with at least 20 distinct readings: a candidate of the forest that is further
+    than ten scatters from the source's curve over wavelength, or its mean). Flux without a usable wavelength is no
+    outlier. Readings without a source are judged by limits only. A null run counts as one run. An empty table has no
+    rows. With ``flagged_only`` only readings with a reason come out.
     """
     rows = m.select("measurement_id", "source_id", "photometry_run_id", F.col("created_us").cast("bigint").alias("created_us"), *(F.col(f).cast("double").alias(f) for f in FIELDS))
-    large = rows.filter("source_id is not null").groupBy("source_id").count().filter(F.col("count") > block_rows).select("source_id", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks"))
-    large, small_enough = _sized(large)
-    blocked = rows.join(small_enough(large), "source_id", "left").withColumn("block", F.when(F.col("source_id").isNull(), F.pmod(F.xxhash64("measurement_id"), F.lit(64))).otherwise(F.pmod(F.xxhash64("photometry_run_id"), F.coalesce("blocks", F.lit(1)))).cast("int"))
+    # readings without a source are shared out like those of one large source
+    rows = rows.withColumn("holder", F.when(F.col("source_id").isNull(), "?").otherwise(F.concat(F.lit("="), "source_id")))
+    large = maybe_broadcast(rows.groupBy("holder").count().filter(F.col("count") > block_rows).select("holder", F.ceil(F.col("count") / block_rows).alias("blocks")))
+    unit = F.when(F.col("source_id").isNull(), F.col("measurement_id")).otherwise(F.col("photometry_run_id"))
     order = ["source_id", "block", "photometry_run_id", "created_us", "measurement_id"]
-    cols = [*order, *FIELDS]
-    fits = blocked.filter("blocks > 1").select(*cols).repartition("source_id", "block").sortWithinPartitions(*order).mapInArrow(_fit_batches, FIT)
-    mean = lambda c, by: F.sum(F.col(c) * F.col(by)) / F.greatest(F.sum(by), F.lit(1))
-    merged = fits.groupBy("source_id").agg(
-        F.sum("n").alias("n_source"), F.array(*(F.sum(F.col("coef")[i] * F.col("n_flux")) / F.greatest(F.sum("n_flux"), F.lit(1)) for i in range(TERMS))).alias("coef"),
-        mean("var_flux", "n_flux").alias("var_flux"), mean("mean_chi2", "n_chi2").alias("mean_chi2"), mean("var_chi2", "n_chi2").alias("var_chi2"),
-    )
-    with_fit = blocked.join(small_enough(merged), "source_id", "left").select(*cols, "n_source", "coef", "var_flux", "mean_chi2", "var_chi2", F.xxhash64("source_id", "block").alias("seed"))
-    return with_fit.repartition("source_id", "block").sortWithinPartitions(*order).mapInArrow(_scorer(flagged_only), SCORES)
+    blocked = rows.join(large, "holder", "left").withColumn("block", F.pmod(F.xxhash64(unit), F.coalesce("blocks", F.lit(1))).cast("bigint"))
+    blocked = blocked.select(*order, *FIELDS).withColumn("seed", F.xxhash64("source_id", "block"))
+    # flagged readings, candidates and sums are far fewer than the readings, and are read three times
+    parts = blocked.repartition("source_id", "block").sortWithinPartitions(*order).mapInArrow(_judge_batches(flagged_only), PARTS)
+    parts = cut_lineage(parts)
+    sums = parts.filter("sums is not null")
+    fits = sums.select("source_id", "block", "field_name").join(usual_fits(sums), ["source_id", "field_name"])
+    readings = parts.filter("sums is null").drop("sums", "n").join(maybe_broadcast(fits), ["source_id", "block", "field_name"], "left")
+    x = F.when(F.col("field_name") == "point_flux_uJy", (F.col("wavelength") - 2.9) / 2.2).otherwise(0.0)
+    usual = F.col("coef")[TERMS - 1]
+    for i in range(TERMS - 2, -1, -1):
+        usual = usual * x + F.col("coef")[i]
+    away = F.abs(F.col("value") - usual) / F.greatest(F.col("scatter"), 1e-12 * F.abs(usual) + 1e-300)
+    scatters = F.when((F.col("n") >= LEAST) & ~F.isnan("scatter"), away)
+    reason = F.when(F.col("reason") != "candidate", F.col("reason")).when((F.col("reason") == "candidate") & (scatters > SCATTERS), "outlier")
+    out = readings.select("measurement_id", "source_id", "field_name", "value", "score", F.when(F.col("field_name").isin(*JUDGED), scatters).alias("scatters"), reason.alias("reason"))
+    return out.filter("reason is not null") if flagged_only else out

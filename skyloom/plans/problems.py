@@ -78,7 +78,15 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     s, p = load(spark, d, "sources"), load(spark, d, "discovery_products")
     src = skyjoin.positions(s.select(F.concat(F.lit("src:"), "source_id").alias("loc"), F.col("ra_deg").alias("ra"), F.col("dec_deg").alias("dec")))
     prd = skyjoin.positions(p.select(F.concat(F.lit("prd:"), digest_text("product_signature")).alias("loc"), F.col("s_ra").alias("ra"), F.col("s_dec").alias("dec")))
-    return skyjoin.near_pairs(src, src.unionByName(prd), NEAR_DEG)
+    return skyjoin.near_pairs(src, prd, NEAR_DEG)
+
+
+def p4_regions(spark: SparkSession, d: str) -> DataFrame:
+    """Sources and the products whose region on the sky holds one of their positions."""
+    s, p = load(spark, d, "sources"), load(spark, d, "discovery_products")
+    areas = skyjoin.regions(p.select(digest_text("product_signature").alias("loc"), F.col("s_region").alias("region")))
+    held = skyjoin.containing_regions(skyjoin.positions(s.select(F.col("source_id").alias("loc"), F.col("ra_deg").alias("ra"), F.col("dec_deg").alias("dec"))), areas)
+    return held.select(F.col("loc").alias("source_id"), F.col("region_loc").alias("product_signature"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -97,7 +105,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return h.select(F.col("key").alias("source_id"), F.col("value").alias("row_hash"), history.whole_seconds(F.col("valid_from")).alias("valid_from_s"), F.coalesce(history.whole_seconds(F.col("valid_to")), F.lit(-1)).cast("bigint").alias("valid_to_s"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_observations, p1_targets, p2_found, p2_scores, p3_found, p3_intervals, p4_found, p5_found, p5_rows, p6_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_observations, p1_targets, p2_found, p2_scores, p3_found, p3_intervals, p4_found, p4_regions, p5_found, p5_rows, p6_found)}
 
 _TRIM = "lower(trim({}, chr(32)||chr(9)||chr(10)||chr(13)||chr(11)||chr(12)))"
 
@@ -144,6 +152,12 @@ p as (select distinct 'prd:' || {_TRIM.format('product_signature')} as loc, radi
 b as (select * from s union all select * from p)
 select distinct least(s.loc, b.loc) as loc_a, greatest(s.loc, b.loc) as loc_b from s join b on b.dec between s.dec - radians(4.0 / 3600) and s.dec + radians(4.0 / 3600) and s.loc <> b.loc
 where degrees(2 * asin(least(1.0, sqrt(power(sin((b.dec - s.dec) / 2), 2) + cos(s.dec) * cos(b.dec) * power(sin((b.ra - s.ra) / 2), 2))))) <= 3.0 / 3600""",
+    "p4_regions": f"""
+with s as (select distinct source_id, radians(ra_deg) as ra, radians(dec_deg) as dec from sources where source_id is not null and ra_deg is not null and dec_deg is not null),
+p as (select distinct {_TRIM.format('product_signature')} as product_signature, string_split(s_region, ' ') as x from discovery_products where product_signature is not null and s_region like 'CIRCLE%'),
+c as (select product_signature, radians(cast(x[3] as double)) as ra, radians(cast(x[4] as double)) as dec, radians(cast(x[5] as double)) as r from p)
+select distinct source_id, product_signature from s join c on s.dec between c.dec - c.r * 1.001 and c.dec + c.r * 1.001
+where 2 * asin(least(1.0, sqrt(power(sin((c.dec - s.dec) / 2), 2) + cos(s.dec) * cos(c.dec) * power(sin((c.ra - s.ra) / 2), 2)))) <= c.r""",
     "p6_found": f"""
 with r as (select source_id, last_seen_at as t, {_TRIM.format('row_hash')} as h, retired_at as c, row_number() over (partition by source_id, last_seen_at order by source_pk desc) as rn
   from sources where source_id is not null and last_seen_at is not null),

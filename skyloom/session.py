@@ -6,6 +6,9 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 50_000  # rows of a few numbers each, some 2 MB
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -29,9 +32,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named in spark.checkpoint.dir; only where it is unset (tests) make one of our own."""
-    if not spark.conf.get("spark.checkpoint.dir", "") and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="skyloom-checkpoint-"))
+    """Use the shared folder named in spark.checkpoint.dir; only where it is unset, and on one machine, make one of our own."""
+    if spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir() is not None:
+        return
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="skyloom-checkpoint-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -40,5 +46,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def maybe_broadcast(few: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A frame that is expected to be short, written and counted; broadcast if it is no longer than ``rows``, else a plain side of a join."""
+    kept = cut_lineage(few)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
 def data_dir(default: str = "/root/testdata/sf0.001") -> str:
     return os.environ.get("SKYLOOM_DATA", default)

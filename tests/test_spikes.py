@@ -2,6 +2,8 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from skyloom.functions.forest import average_path, forest_scores
 from skyloom.operators import spikes
@@ -84,6 +86,52 @@ def test_every_reading_has_a_score(spark):
     assert np.mean(out) > np.mean(rest) + 0.1
 
 
+@pytest.mark.parametrize("score", [0.1, 0.9])
+def test_without_the_forest_outliers_are_lost(spark, monkeypatch, score):
+    """The same readings with one score for all: none are set aside, or none are ordinary."""
+    rows, cases = planted(random.Random(4))
+    table = pa.table({**{k: [r[i] for r in rows] for i, k in enumerate(["measurement_id", "source_id", "photometry_run_id", "created_us", "wavelength_um", "point_flux_uJy", "chi2_reduced"])}, "block": [0] * len(rows), "seed": [1] * len(rows)})
+    c = spikes.Chunk(table.sort_by([(k, "ascending") for k in ("source_id", "photometry_run_id", "created_us")]))
+
+    def outliers():
+        parts = pa.Table.from_batches(spikes._judge(c, True)).to_pylist()
+        sums = [p for p in parts if p["sums"]]
+        coef, scatter = spikes.solve(np.array([p["n"] for p in sums]), np.array([p["sums"] for p in sums]), np.array([p["field_name"] == "point_flux_uJy" for p in sums]))
+        fits = {(p["source_id"], p["field_name"]): (c, s) for p, c, s in zip(sums, coef, scatter, strict=True)}
+        out = set()
+        for p in parts:
+            if p["reason"] == "candidate":
+                (c0, s0), x = fits[p["source_id"], p["field_name"]], spikes._place(p["wavelength"]) if p["field_name"] == "point_flux_uJy" else 0.0
+                if abs(p["value"] - np.polyval(c0[::-1], x)) > 10 * s0:
+                    out.add((p["measurement_id"], p["field_name"]))
+        return out
+
+    want = {k for k, reason in cases.items() if reason == "outlier"}
+    assert want <= outliers()
+    monkeypatch.setattr(spikes, "_field_scores", lambda c, f, usable: np.where(c.null[f], np.nan, score))
+    assert not want <= outliers()
+
+
+def test_candidates_hold_every_reading_beyond_ten_scatters(spark):
+    """Recall of the forest's candidates, by the distance of every reading from the curve of its source."""
+    rng = random.Random(12)
+    rows = [r for k in range(12) for r in readings(rng, f"s{k}", rng.randrange(20, 300), 10.0 ** rng.randrange(-1, 5), 10.0 ** rng.randrange(-2, 2))]
+    for r in rng.sample(rows, 60):
+        r[rng.choice([5, 6])] += rng.choice([-1, 1]) * 10 ** rng.uniform(2.5, 6)
+    got = spikes.score_readings(spark.createDataFrame([tuple(r) for r in rows], SCHEMA)).filter("scatters > 10 and reason is null").collect()
+    assert got == []
+
+
+def test_sums_of_blocks_are_the_fit_of_the_whole():
+    rng = np.random.default_rng(3)
+    w, y = rng.uniform(-1, 1, 500), rng.normal(5, 2, 500)
+    powers = lambda w, y: np.concatenate([np.vander(w, spikes.POWERS, increasing=True).sum(0), (np.vander(w, spikes.TERMS, increasing=True) * y[:, None]).sum(0), [(y * y).sum()]])
+    whole = spikes.solve(np.array([500]), powers(w, y)[None], np.array([True]))
+    parts = spikes.solve(np.array([500]), sum(powers(w[a : a + 60], y[a : a + 60]) for a in range(0, 500, 60))[None], np.array([True]))
+    rest = y - np.polyval(np.polyfit(w, y, 4), w)
+    assert np.allclose(whole[0], parts[0]) and np.allclose(whole[1], parts[1]) and np.isclose(whole[1][0], np.sqrt(rest @ rest / 495))
+
+
 def test_six_digits_and_run_lengths():
     v = np.array([1.0, 1.0000001, 1.00001, 0.0, -0.0, 123456.4, 123456.0, 9.9999996, 10.0])
     m, e = spikes.six_digits(v)
