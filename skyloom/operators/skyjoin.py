@@ -39,18 +39,28 @@ def regions(df: DataFrame) -> DataFrame:
     35. A text that is none of these, or has other than finite numbers, is no region.
     """
     number = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
-    text = df.select("loc", F.upper(F.trim("region")).alias("region")).filter("loc is not null and region is not null").distinct()
-    n = F.transform(F.regexp_extract_all(F.regexp_replace("region", r"^(CIRCLE|POLYGON)(\s+[A-Z][A-Z0-9]*)?", ""), F.lit(f"({number})"), F.lit(1)), lambda x: x.cast("double"))
-    parsed = text.filter(F.col("region").rlike(rf"^(CIRCLE|POLYGON)(\s+[A-Z][A-Z0-9]*)?(\s+{number})+$")).select("loc", F.col("region").startswith("CIRCLE").alias("is_circle"), n.alias("n"))
-    circles = parsed.filter("is_circle and size(n) = 3 and get(n, 2) >= 0 and get(n, 2) < 35").select("loc", F.col("n")[0].alias("ra"), F.col("n")[1].alias("dec"), F.col("n")[2].alias("radius"), F.lit(None).cast("array<double>").alias("corners"))
-    polygons = parsed.filter("not is_circle and size(n) >= 6 and size(n) % 2 = 0").withColumn("at", F.expr("sequence(0, cast(size(n) / 2 as int) - 1)"))
-    mean = lambda f: F.aggregate(F.transform("at", f), F.lit(0.0), lambda a, b: a + b)
-    ra, dec = (lambda k: F.radians(F.get("n", 2 * k))), (lambda k: F.radians(F.get("n", 2 * k + 1)))
-    polygons = polygons.withColumns({"x": mean(lambda k: F.cos(dec(k)) * F.cos(ra(k))), "y": mean(lambda k: F.cos(dec(k)) * F.sin(ra(k))), "z": mean(lambda k: F.sin(dec(k)))})
-    polygons = polygons.select("loc", "n", "at", F.degrees(F.atan2("y", "x")).alias("ra"), F.degrees(F.atan2(F.col("z"), F.hypot("x", "y"))).alias("dec"))
-    reach = F.array_max(F.transform("at", lambda k: cells.separation_deg(F.col("ra"), F.col("dec"), F.get("n", 2 * k), F.get("n", 2 * k + 1)))) * (1 + 1e-9)
-    polygons = polygons.select("loc", "ra", "dec", reach.alias("radius"), F.col("n").alias("corners")).filter("radius < 35")
-    return circles.unionByName(polygons)
+    shape = r"^(CIRCLE|POLYGON)(\s+[A-Z][A-Z0-9]*)?"
+    text = df.select("loc", F.upper(F.trim("region")).alias("region")).filter(F.col("loc").isNotNull() & F.col("region").rlike(rf"{shape}(\s+{number})+$"))
+    n = F.transform(F.regexp_extract_all(F.regexp_replace("region", shape, ""), F.lit(f"({number})"), F.lit(1)), lambda x: x.cast("double"))
+    # distinct numbers before they are used again and again
+    parsed = text.select("loc", F.col("region").startswith("CIRCLE").alias("is_circle"), n.alias("n")).distinct()
+    circles = parsed.filter("is_circle and size(n) = 3 and get(n, 2) >= 0").select("loc", F.get("n", F.lit(0)).alias("ra"), F.get("n", F.lit(1)).alias("dec"), F.get("n", F.lit(2)).alias("radius"), F.lit(None).cast("array<double>").alias("corners"))
+    polygons = parsed.filter("not is_circle and size(n) >= 6 and size(n) % 2 = 0").select("loc", F.col("n").alias("corners")).mapInArrow(_circles_around, "loc string, ra double, dec double, radius double, corners array<double>")
+    return circles.unionByName(polygons).filter("radius < 35")
+
+
+def _circles_around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        if not b.num_rows:
+            continue
+        corners = b.column("corners")
+        flat, at = corners.flatten().to_numpy(), (corners.offsets.to_numpy() - corners.offsets[0].as_py()) // 2
+        ra, dec = np.radians(flat[::2]), np.radians(flat[1::2])
+        x, y, z = (np.add.reduceat(v, at[:-1]) for v in (np.cos(dec) * np.cos(ra), np.cos(dec) * np.sin(ra), np.sin(dec)))
+        ra0, dec0 = np.degrees(np.arctan2(y, x)), np.degrees(np.arctan2(z, np.hypot(x, y)))
+        owner = np.repeat(np.arange(b.num_rows), np.diff(at))
+        reach = np.maximum.reduceat(_distance(ra0[owner], dec0[owner], flat[::2], flat[1::2]), at[:-1]) * (1 + 1e-9)
+        yield pa.RecordBatch.from_pydict({"loc": b.column("loc"), "ra": pa.array(ra0), "dec": pa.array(dec0), "radius": pa.array(reach), "corners": corners})
 
 
 def _distance(ra1: np.ndarray, dec1: np.ndarray, ra2: np.ndarray, dec2: np.ndarray) -> np.ndarray:
@@ -59,22 +69,33 @@ def _distance(ra1: np.ndarray, dec1: np.ndarray, ra2: np.ndarray, dec2: np.ndarr
     return np.degrees(2 * np.arcsin(np.minimum(1.0, np.sqrt(h))))
 
 
-def in_polygon(ra: np.ndarray, dec: np.ndarray, corners: list[float], ra0: float, dec0: float) -> np.ndarray:
-    """Whether points lie inside a polygon whose sides are great circles: straight lines on the plane that touches the sphere at its middle."""
+def _plane(ra: np.ndarray, dec: np.ndarray, ra0: np.ndarray, dec0: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places on the plane that touches the sphere at (ra0, dec0), where great circles are straight lines; the third is above 0 on the near half."""
+    a, d, d0 = np.radians(ra - ra0), np.radians(dec), np.radians(dec0)
+    ahead = np.sin(d0) * np.sin(d) + np.cos(d0) * np.cos(d) * np.cos(a)
+    with np.errstate(all="ignore"):
+        return np.cos(d) * np.sin(a) / ahead, (np.cos(d0) * np.sin(d) - np.sin(d0) * np.cos(d) * np.cos(a)) / ahead, ahead
 
-    def plane(a: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        a, d, d0 = np.radians(a - ra0), np.radians(d), np.radians(dec0)
-        ahead = np.sin(d0) * np.sin(d) + np.cos(d0) * np.cos(d) * np.cos(a)
-        with np.errstate(all="ignore"):
-            return np.cos(d) * np.sin(a) / ahead, (np.cos(d0) * np.sin(d) - np.sin(d0) * np.cos(d) * np.cos(a)) / ahead, ahead
 
-    c = np.array(corners, float)
-    cx, cy, _ = plane(c[::2], c[1::2])
-    x, y, ahead = plane(ra, dec)
-    x1, y1, x2, y2 = cx, cy, np.roll(cx, -1), np.roll(cy, -1)
-    with np.errstate(all="ignore"):
-        crosses = ((y1 > y[:, None]) != (y2 > y[:, None])) & (x[:, None] < (x2 - x1) * (y[:, None] - y1) / (y2 - y1) + x1)
-    return (crosses.sum(1) % 2 == 1) & (ahead > 0)
+def in_polygons(ra: np.ndarray, dec: np.ndarray, corners: pa.ListArray, which: np.ndarray, ra0: np.ndarray, dec0: np.ndarray) -> np.ndarray:
+    """Whether each point lies inside the polygon ``which`` it is asked about; sides are great circles.
+
+    ``corners`` holds ra, dec, ra, dec ... of each polygon and ``ra0, dec0`` its middle. A point is inside if a ray from it crosses the sides an odd number of times.
+    """
+    flat, at = corners.flatten().to_numpy(), corners.offsets.to_numpy() - corners.offsets[0].as_py()
+    n = np.diff(at) // 2
+    x, y, ahead = _plane(ra, dec, ra0[which], dec0[which])
+    owner = np.repeat(np.arange(len(n)), n)
+    cx, cy, _ = _plane(flat[::2], flat[1::2], ra0[owner], dec0[owner])
+    first, size = (at[:-1] // 2)[which], n[which]
+    inside = np.zeros(len(ra), bool)
+    for k in range(int(n.max(initial=0))):
+        has = k < size
+        i, j = first + np.where(has, k, 0), first + np.where(has, (k + 1) % np.maximum(size, 1), 0)
+        with np.errstate(all="ignore"):
+            crosses = has & ((cy[i] > y) != (cy[j] > y)) & (x < (cx[j] - cx[i]) * (y - cy[i]) / (cy[j] - cy[i]) + cx[i])
+        inside ^= crosses
+    return inside & (ahead > 0)
 
 
 def _pairs(ranges: pa.Table, points: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -94,10 +115,11 @@ def _pairs(ranges: pa.Table, points: pa.Table) -> Iterator[pa.RecordBatch]:
         ok = _distance(r_ra[r], r_dec[r], p_ra[p], p_dec[p]) <= reach[r]
         r, p = r[ok], p[ok]
         if shaped.any() and len(r):
+            mine = np.flatnonzero(shaped[r])
+            used, which = np.unique(r[mine], return_inverse=True)
+            corners = ranges["corners"].combine_chunks().take(pa.array(used))
             inside = np.ones(len(r), bool)
-            for k in np.unique(r[shaped[r]]):
-                mine = r == k
-                inside[mine] = in_polygon(p_ra[p[mine]], p_dec[p[mine]], ranges["corners"][int(k)].as_py(), r_ra[k], r_dec[k])
+            inside[mine] = in_polygons(p_ra[p[mine]], p_dec[p[mine]], corners, which, r_ra[used], r_dec[used])
             r, p = r[inside], p[inside]
         if not len(r):
             continue

@@ -154,9 +154,20 @@ select distinct least(s.loc, b.loc) as loc_a, greatest(s.loc, b.loc) as loc_b fr
 where degrees(2 * asin(least(1.0, sqrt(power(sin((b.dec - s.dec) / 2), 2) + cos(s.dec) * cos(b.dec) * power(sin((b.ra - s.ra) / 2), 2))))) <= 3.0 / 3600""",
     "p4_regions": f"""
 with s as (select distinct source_id, radians(ra_deg) as ra, radians(dec_deg) as dec from sources where source_id is not null and ra_deg is not null and dec_deg is not null),
-p as (select distinct {_TRIM.format('product_signature')} as product_signature, string_split(s_region, ' ') as x from discovery_products where product_signature is not null and s_region like 'CIRCLE%'),
-c as (select product_signature, radians(cast(x[3] as double)) as ra, radians(cast(x[4] as double)) as dec, radians(cast(x[5] as double)) as r from p)
-select distinct source_id, product_signature from s join c on s.dec between c.dec - c.r * 1.001 and c.dec + c.r * 1.001
+p as (select distinct {_TRIM.format('product_signature')} as sig, s_region, string_split(s_region, ' ')[3:] as x from discovery_products where product_signature is not null and s_region is not null),
+v as (select sig, s_region, k, radians(cast(x[2 * k - 1] as double)) as ra, radians(cast(x[2 * k] as double)) as dec, radians(cast(x[3] as double)) as r from p, range(1, 9) t(k) where 2 * k <= len(x)),
+m as (select sig, s_region, atan2(sum(cos(dec) * sin(ra)), sum(cos(dec) * cos(ra))) as ra, atan2(sum(sin(dec)), sqrt(power(sum(cos(dec) * sin(ra)), 2) + power(sum(cos(dec) * cos(ra)), 2))) as dec, max(k) as n from v group by sig, s_region),
+q as (select s.source_id, m.sig, m.s_region, m.n, m.ra as ra0, m.dec as dec0, s.ra - m.ra as a, s.dec, sin(m.dec) * sin(s.dec) + cos(m.dec) * cos(s.dec) * cos(s.ra - m.ra) as ahead
+  from m join s on s.dec between m.dec - radians(4) and m.dec + radians(4) where m.s_region like 'POLYGON%' and sin(m.dec) * sin(s.dec) + cos(m.dec) * cos(s.dec) * cos(s.ra - m.ra) > cos(radians(4))),
+pt as (select *, cos(dec) * sin(a) / ahead as x, (cos(dec0) * sin(dec) - sin(dec0) * cos(dec) * cos(a)) / ahead as y from q),
+pv as (select v.sig, v.s_region, v.k, cos(v.dec) * sin(v.ra - m.ra) / (sin(m.dec) * sin(v.dec) + cos(m.dec) * cos(v.dec) * cos(v.ra - m.ra)) as x,
+    (cos(m.dec) * sin(v.dec) - sin(m.dec) * cos(v.dec) * cos(v.ra - m.ra)) / (sin(m.dec) * sin(v.dec) + cos(m.dec) * cos(v.dec) * cos(v.ra - m.ra)) as y
+  from v join m using (sig, s_region) where s_region like 'POLYGON%'),
+inside as (select pt.source_id, pt.sig from pt join pv v1 using (sig, s_region) join pv v2 on v2.sig = pt.sig and v2.s_region = pt.s_region and v2.k = v1.k % pt.n + 1
+  group by pt.source_id, pt.sig, pt.s_region having sum(case when (v1.y > pt.y) <> (v2.y > pt.y) and pt.x < (v2.x - v1.x) * (pt.y - v1.y) / (v2.y - v1.y) + v1.x then 1 else 0 end) % 2 = 1)
+select source_id, sig as product_signature from inside
+union
+select source_id, sig from s join (select * from v where k = 1 and s_region like 'CIRCLE%') c on s.dec between c.dec - c.r * 1.001 and c.dec + c.r * 1.001
 where 2 * asin(least(1.0, sqrt(power(sin((c.dec - s.dec) / 2), 2) + cos(s.dec) * cos(c.dec) * power(sin((c.ra - s.ra) / 2), 2)))) <= c.r""",
     "p6_found": f"""
 with r as (select source_id, last_seen_at as t, {_TRIM.format('row_hash')} as h, retired_at as c, row_number() over (partition by source_id, last_seen_at order by source_pk desc) as rn

@@ -1,10 +1,12 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from skyloom.functions import cells
-from skyloom.operators.skyjoin import containing_regions, in_polygon, near_pairs, positions, regions
+from skyloom.operators.skyjoin import containing_regions, in_polygons, near_pairs, positions, regions
 
 
 def separation(a, b):
@@ -101,14 +103,14 @@ def test_regions_of_all_kinds(spark):
     areas = regions(spark.createDataFrame([*texts.items(), (None, "CIRCLE 1 1 1"), ("n", None), ("c1", texts["c1"])], "loc string, region string"))
     assert {r.loc for r in areas.collect()} == {"c1", "c2", "c3", "p1", "p2", "p3"}
     want = set()
-    import numpy as np
-
     for name in ("c1", "c2", "c3"):
         ra, dec, r = map(float, texts[name].split()[-3:])
         want |= {(q, name) for q, a, d in points if separation((a, d), (ra, dec)) <= r}
+    def inside(x, y, corners, ra, dec):
+        return in_polygons(np.array(x, float), np.array(y, float), pa.array([corners], pa.list_(pa.float64())), np.zeros(len(x), int), np.array([ra], float), np.array([dec], float))
+
     for r in areas.filter("corners is not null").collect():
-        x, y = np.array([p[1] for p in points]), np.array([p[2] for p in points])
-        want |= {(p[0], r.loc) for p, ok in zip(points, in_polygon(x, y, r.corners, r.ra, r.dec), strict=True) if ok}
+        want |= {(p[0], r.loc) for p, ok in zip(points, inside([p[1] for p in points], [p[2] for p in points], r.corners, r.ra, r.dec), strict=True) if ok}
     assert {tuple(r) for r in containing_regions(frame(spark, points), areas).collect()} == want and len(want) > 100
-    hollow = in_polygon(np.array([43.5, 41.0]), np.array([41.0, 43.0]), [40, 40, 44, 40, 42, 41, 44, 44, 40, 44], 42, 42)
+    hollow = inside([43.5, 41.0], [41.0, 43.0], [40, 40, 44, 40, 42, 41, 44, 44, 40, 44], 42, 42)
     assert hollow.tolist() == [False, True]
