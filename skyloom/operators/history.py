@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyloom.session import cut_lineage
+from skyloom.session import BROADCAST_ROWS, cut_lineage, maybe_broadcast
 
 CLOSED = "closed"
 DAY = 86_400_000_000
@@ -41,33 +41,44 @@ def entity_digests(rows: DataFrame) -> DataFrame:
     return rows.groupBy("cut", "k").agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
 
 
+def _digest(*fields: Column | str) -> Column:
+    """128 bits over a set of rows, whatever their order: a struct of two sums of hashes, combined before the shuffle."""
+    return F.struct(F.bit_xor(F.xxhash64(*fields)).alias("a"), F.bit_xor(F.xxhash64(*reversed(fields), F.lit(1))).alias("b"))
+
+
 def merkle_leaves(digests: DataFrame, buckets: int) -> DataFrame:
     """``cut, node, was, became``: a bucket's digest in a period, and in the last period that delivered to it.
 
-    The digest is a sum over the bucket's keys, independent of order, in twice 64 bits. A bucket in which a key was
-    delivered with several states gets a digest that no other period has.
+    A bucket in which a key was delivered with several states gets a digest that no other period has.
     """
-    half = lambda *c: F.bit_xor(F.xxhash64(*c)).cast("string")
-    mixed = F.when(F.max(F.col("low") != F.col("high")), F.col("cut").cast("string"))
-    leaves = digests.groupBy("cut", F.pmod("k", F.lit(buckets)).cast("bigint").alias("node")).agg(F.concat_ws(":", half("k", "low"), half("low", "k"), mixed).alias("became"))
-    return leaves.withColumn("was", F.coalesce(F.lag("became").over(Window.partitionBy("node").orderBy("cut")), F.lit("")))
+    mixed = F.when(F.max(F.col("low") != F.col("high")), F.col("cut"))
+    leaves = digests.groupBy("cut", F.pmod("k", F.lit(buckets)).cast("bigint").alias("node")).agg(_digest("k", "low").alias("set"), mixed.alias("mixed"))
+    leaves = leaves.select("cut", "node", F.struct("set.a", "set.b", "mixed").alias("became"))
+    was = F.lag("became").over(Window.partitionBy("node").orderBy("cut"))
+    return leaves.select("cut", "node", "became", was.alias("was")).select(
+        "cut", "node", *(F.when(F.col(c).isNotNull(), F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c).alias("b"))).alias(c) for c in ("was", "became"))
+    )
 
 
 def merkle_parents(children: DataFrame, fanout: int) -> DataFrame:
-    """The level above: a node's digests cover its children's numbers and digests in order."""
-    digest = lambda c: F.sha2(F.to_json(F.array_sort(F.collect_list(F.struct("node", F.col(c).alias("digest"))))), 256)
-    return children.groupBy("cut", F.floor(F.col("node") / fanout).cast("bigint").alias("parent")).agg(digest("was").alias("was"), digest("became").alias("became")).withColumnRenamed("parent", "node")
+    """The level above: a node's digests cover its children's numbers and digests."""
+    both = {c: _digest("node", F.col(f"{c}.a"), F.col(f"{c}.b")).alias(c) for c in ("was", "became")}
+    return children.groupBy("cut", F.floor(F.col("node") / fanout).cast("bigint").alias("parent")).agg(*both.values()).withColumnRenamed("parent", "node")
+
+
+def _differs() -> Column:
+    return ~F.col("was").eqNullSafe(F.col("became"))
 
 
 def differing_leaves(leaves: DataFrame, depth: int, fanout: int) -> DataFrame:
     """``cut, node`` of the leaf buckets that differ, found from the roots down through differing branches only."""
     levels = [leaves]
     for _ in range(depth):
-        levels.append(merkle_parents(levels[-1], fanout))
-    found = levels[-1].filter("was != became").select("cut", "node")
+        levels.append(cut_lineage(merkle_parents(levels[-1], fanout)))
+    found = levels[-1].filter(_differs()).select("cut", "node")
     for level in reversed(levels[:-1]):
         parents = found.select("cut", F.col("node").alias("parent"))
-        found = level.withColumn("parent", F.floor(F.col("node") / fanout).cast("bigint")).join(parents, ["cut", "parent"], "left_semi").filter("was != became").select("cut", "node")
+        found = level.withColumn("parent", F.floor(F.col("node") / fanout).cast("bigint")).join(parents, ["cut", "parent"], "left_semi").filter(_differs()).select("cut", "node")
     return found
 
 
@@ -83,7 +94,7 @@ def changed_rows(log: DataFrame, period_us: int = DAY, leaf_keys: int = 1, fanou
     buckets = max(1, -(-keys // leaf_keys))
     leaves = cut_lineage(merkle_leaves(digests, buckets))
     found = differing_leaves(leaves, max(1, math.ceil(math.log(buckets, fanout))), fanout)
-    return rows.withColumn("node", F.pmod("k", F.lit(buckets)).cast("bigint")).join(found, ["cut", "node"], "left_semi").select("key", "cut", "t", "tie", "value", "closed_at")
+    return rows.withColumn("node", F.pmod("k", F.lit(buckets)).cast("bigint")).join(maybe_broadcast(found, 4 * BROADCAST_ROWS), ["cut", "node"], "left_semi").select("key", "cut", "t", "tie", "value", "closed_at")
 
 
 def append_versions(changed: DataFrame) -> DataFrame:

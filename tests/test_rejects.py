@@ -95,10 +95,10 @@ def test_long_record():
     assert rejects.parse_records(HEADER, ['"' + "x" * 3_000_000 + '",1,2,60', "," * 100_000]).column("reason").to_pylist() == [None, "column_count"]
 
 
-@pytest.mark.parametrize("salts", [1, 5])
-def test_files_meet_their_headers(spark, salts):
+@pytest.mark.parametrize("how", [{}, {"broadcast_rows": 0, "rows_per_task": 2}, {"broadcast_rows": 1, "rows_per_task": 1000}])
+def test_files_meet_their_headers(spark, how):
     rows = [(1, "f", 1, HEADER, "h"), (9, "f", 1, "other,header", "h"), (2, "f", 2, "a,1,2,60", "h"), (3, "f", 3, "a,1,2", "h"), (4, "g", 2, "a,1,2,60", "h"), (5, None, 2, "a,1,2,60", "h"), (6, "f", 2, "a,1,2,60", "h"), (7, "f", None, None, "h"), (8, "f", 5, HEADER, "h")]
     df = spark.createDataFrame(rows, "record_id bigint, file_id string, line_no int, raw_line string, header string")
-    got = {r.record_id: r.reason for r in rejects.load_records(df, salts).collect()}
+    got = {r.record_id: r.reason for r in rejects.load_records(df, **how).collect()}
     assert got == {2: None, 3: "column_count", 4: "column_count", 5: "column_count", 6: None, 7: "column_count", 8: "bad_ra"}
-    assert rejects.load_records(df.limit(0), salts).collect() == []
+    assert rejects.load_records(df.limit(0), **how).collect() == []
