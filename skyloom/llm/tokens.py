@@ -75,7 +75,22 @@ class Encoder:
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
+        # ids of the fragments met so far one after the other, grown in place; where each begins, and how many it has
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.first, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def _learn(self, fragment: bytes) -> int:
+        ids = self.bpe.encode_ordinary(fragment.decode())
+        at, n = len(self.known), len(ids)
+        if at == len(self.first):
+            self.first, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.length))
+        while self.used + n > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + n] = ids
+        self.first[at], self.length[at] = self.used, n
+        self.used += n
+        self.known[fragment] = at
+        return at
 
     def fragment_starts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Sorted places in the joined texts where a fragment begins; every text's beginning is one."""
@@ -97,24 +112,15 @@ class Encoder:
         offsets = offsets - low
         if not blob:
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        if len(self.ids) > MEMO:
+        if len(self.known) > MEMO:
             self.forget()
         begin = self.fragment_starts(np.frombuffer(blob, np.uint8), offsets[:-1][np.diff(offsets) > 0])
-        known, ids, which = self.known, self.ids, np.empty(len(begin), np.int64)
-        bounds = begin.tolist()
-        bounds.append(len(blob))
-        for k in range(len(begin)):
-            fragment = blob[bounds[k] : bounds[k + 1]]
-            at = known.get(fragment)
-            if at is None:
-                at = known[fragment] = len(ids)
-                ids.append(np.array(self.bpe.encode_ordinary(fragment.decode()), np.int32))
-            which[k] = at
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat, first = np.concatenate(ids), np.cumsum(length) - length
-        n = length[which]
+        bounds = [*begin.tolist(), len(blob)]
+        known = self.known
+        which = np.fromiter((at if (at := known.get(x)) is not None else self._learn(x) for x in map(blob.__getitem__, map(slice, bounds[:-1], bounds[1:]))), np.int64, len(begin))
+        n = self.length[which]
         ends = np.cumsum(n)
-        out = flat[np.repeat(first[which] - (ends - n), n) + np.arange(ends[-1])]
+        out = self.flat[np.repeat(self.first[which] - (ends - n), n) + np.arange(ends[-1])]
         per_fragment = np.append(0, ends)
         return out, per_fragment[np.searchsorted(begin, offsets)]
 
