@@ -3,8 +3,10 @@
 Items are dealt into blocks by hash, each block small enough for one task. Every block is evolved by several islands,
 each a population of its own in its own task; after each epoch an island's best solution migrates to the next island.
 Crossover injects whole well-filled bins of one parent into another, drops the bins that hold an injected item, and
-puts displaced items back where they fit best. Bins that a block leaves poorly filled are opened, and their items go
-to the next round's blocks, until one block is left; so only that last block leaves room.
+puts displaced items back where they fit best. A population starts from plain best fit, in orders by chance, and an
+island ends when its bins are as few as the items' sum allows or when no child has been better for some generations.
+Bins that a block leaves poorly filled are opened, and their items go to the next round's blocks, until one block is
+left; so only that last block leaves room.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from skyloom.session import cut_lineage
 
@@ -83,19 +84,20 @@ def crossover(into: np.ndarray, source: np.ndarray, sizes: np.ndarray, capacity:
     return np.unique(np.array(out), return_inverse=True)[1]
 
 
-def evolve(population: list[np.ndarray], sizes: np.ndarray, capacity: int, generations: int, seed: tuple[int, ...]) -> list[np.ndarray]:
-    """The population after some generations, best first; stops when no solution can have fewer or fuller bins."""
+def evolve(population: list[np.ndarray], sizes: np.ndarray, capacity: int, generations: int, seed: tuple[int, ...], patience: int = 60) -> list[np.ndarray]:
+    """The population after some generations, best first; ends early when no solution can have fewer bins, or after ``patience`` generations without a better one."""
     rng = np.random.default_rng(seed)
     least = -(-int(sizes.sum()) // capacity)
-    top = ((least - 1) + (sizes.sum() / capacity - (least - 1)) ** 2) / least if least else 1.0
     scored = sorted(((fitness(p, sizes, capacity), k, p) for k, p in enumerate(population)), key=lambda x: (-x[0], x[1]))
+    since = 0
     for _ in range(generations):
-        if scored[0][0] >= top - 1e-9:
+        if scored[0][2].max() + 1 <= least or since >= patience:
             break
         a, b = sorted(rng.choice(len(scored), 2, replace=len(scored) < 2).tolist())
         into, source = (scored[a][2], scored[b][2]) if rng.random() < 0.5 else (scored[b][2], scored[a][2])
         child = crossover(into, source, sizes, capacity, rng)
         f = fitness(child, sizes, capacity)
+        since = 0 if f > scored[0][0] + 1e-12 else since + 1
         if all(abs(f - s[0]) > 1e-12 for s in scored):
             scored[-1] = (f, 0, child)
             scored.sort(key=lambda x: -x[0])
@@ -103,10 +105,10 @@ def evolve(population: list[np.ndarray], sizes: np.ndarray, capacity: int, gener
 
 
 def _start(sizes: np.ndarray, capacity: int, individuals: int, seed: tuple[int, ...]) -> list[np.ndarray]:
-    """Best fit in decreasing order, then in orders more and more disturbed."""
+    """Plain best fit, each time in another order."""
     rng = np.random.default_rng(seed)
     plain = sizes.tolist()
-    return [np.array(_solve(np.argsort(-(sizes * rng.uniform(1 - 0.1 * k, 1 + 0.1 * k, len(sizes))), kind="stable").tolist(), plain, capacity), np.int64) for k in range(individuals)]
+    return [np.array(_solve(rng.permutation(len(sizes)).tolist(), plain, capacity), np.int64) for _ in range(individuals)]
 
 
 def _epoch(capacity: int, individuals: int, generations: int, epoch: int) -> Callable:
@@ -128,39 +130,60 @@ def _epoch(capacity: int, individuals: int, generations: int, epoch: int) -> Cal
     return run
 
 
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks with the bins of their best solution as a row per item, with its bin's fill, and the best and the median fill in the block."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        items, bins = batch.column("items"), batch.column("bins").flatten().to_numpy()
+        n = np.diff(items.offsets.to_numpy())
+        block = np.repeat(np.arange(batch.num_rows), n)
+        size = items.flatten().field("size").to_numpy()
+        width = int(bins.max()) + 1
+        used = np.bincount(block * width + bins, size, minlength=batch.num_rows * width).reshape(batch.num_rows, width)
+        held = np.bincount(block * width + bins, minlength=batch.num_rows * width).reshape(batch.num_rows, width) > 0
+        best, middle = used.max(axis=1), np.array([np.median(u[h]) for u, h in zip(used, held, strict=True)])
+        flat = items.flatten()
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": flat.field("doc_id"), "part": flat.field("part"), "start": flat.field("start"), "size": flat.field("size"), "block": batch.column("block").take(pa.array(block)), "bin": pa.array(bins, pa.int32()),
+            "used": pa.array(used[block, bins]), "best": pa.array(best[block]), "middle": pa.array(middle[block]),
+        })
+
+
 def _pack_blocks(items: DataFrame, blocks: int, capacity: int, salt: int, islands: int, individuals: int, epochs: int, generations: int) -> DataFrame:
     """``doc_id, part, start, size, block, bin, used, best, middle``: each item's bin in its block's best solution, its fill, and the best and the median fill of the block's bins."""
-    dealt = items.withColumn("block", F.pmod(F.xxhash64("doc_id", "part", F.lit(salt)), F.lit(blocks)).cast("int"))
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("doc_id", "part", "size", F.lit(salt)), F.lit(blocks)).cast("int"))
     members = cut_lineage(dealt.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("size", "doc_id", "part", "start"))).alias("items")))
     state = members.select("block", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), F.col("items.size").alias("sizes"), F.lit(None).cast("array<array<int>>").alias("population"), F.lit(None).cast("array<int>").alias("guest"))
-    tasks = max(1, min(blocks * islands, 2 * items.sparkSession.sparkContext.defaultParallelism, 2000) if blocks < 5000 else blocks * islands // 50)
     for epoch in range(epochs):
-        state = cut_lineage(state.repartition(tasks, "block", "island").mapInArrow(_epoch(capacity, individuals, generations, epoch), STATE))
+        state = state.repartition("block", "island").mapInArrow(_epoch(capacity, individuals, generations, epoch), STATE)
         if epoch + 1 < epochs:
-            elite = state.select("block", F.pmod(F.col("island") + 1, F.lit(islands)).cast("int").alias("island"), F.col("population")[0].alias("guest"))
-            state = state.join(elite, ["block", "island"])
+            # every island hands its best solution to the next one
+            ring = F.array_sort(F.collect_list(F.struct("island", "sizes", "population")))
+            state = cut_lineage(state).groupBy("block").agg(ring.alias("ring")).select("block", F.posexplode("ring").alias("at", "one"), "ring")
+            guest = F.element_at("ring", F.when(F.col("at") == 0, F.size("ring")).otherwise(F.col("at")))
+            state = state.select("block", "one.island", "one.sizes", "one.population", guest["population"][0].alias("guest"))
     # of the islands' best solutions the one with the fewest bins, then with the fullest
     best = state.select("block", "island", "fit", F.col("population")[0].alias("bins")).groupBy("block").agg(F.max_by("bins", F.struct(-F.array_max("bins"), F.col("fit"), F.col("island"))).alias("bins"))
-    flat = members.join(best, "block").select("block", F.explode(F.arrays_zip("items", "bins")).alias("x")).select("block", F.col("x.bins").alias("bin"), "x.items.*")
-    used = flat.groupBy("block", "bin").agg(F.sum("size").alias("used"))
-    bins = Window.partitionBy("block")
-    return flat.join(used.withColumn("best", F.max("used").over(bins)).withColumn("middle", F.median("used").over(bins)), ["block", "bin"])
+    doc = items.schema["doc_id"].dataType.simpleString()
+    return members.join(best, "block").select("block", "items", "bins").mapInArrow(_unpack, f"doc_id {doc}, part int, start bigint, size int, block int, bin int, used double, best double, middle double")
 
 
 def pack(
-    sizes: DataFrame, capacity: int = 2048, block_items: int = 1000, full: float = 0.995, islands: int = 3, individuals: int = 4, epochs: int = 2, generations: int = 12
+    sizes: DataFrame, capacity: int = 2048, block_items: int = 1000, full: float = 0.995, islands: int = 3, individuals: int = 4, epochs: int = 2, generations: int = 200
 ) -> DataFrame:
     """``doc_id, part, start_token, n_tokens, container_id`` of every item of ``doc_id, n_tokens``.
 
     No container holds more than the capacity. Only an item above it is split, into parts that fill containers and a
     rest; parts are numbered from 0 and start where the one before ends. Items of size 0 (empty and null texts) get a
     container too. Rows repeated exactly count once; rows of one doc_id with other sizes are items of their own. An
-    empty table has no rows. Every round leaves at most about half of the items for the next, until one block is left.
+    empty table has no rows. In every round bins stay that are ``full`` times as full as the block's best, at least the
+    better half of them, so that every round leaves at most half of the bins for the next, until one block is left.
     """
     items = cut_lineage(pieces(sizes.select("doc_id", F.greatest(F.coalesce("n_tokens", F.lit(0)), F.lit(0)).alias("n_tokens")).distinct(), capacity))
     whole = items.filter(F.col("size") == capacity)
     done = [whole.select("doc_id", "part", "start", "size", F.concat_ws("-", F.lit("full"), "doc_id", "start", F.xxhash64("doc_id", "start").cast("string")).alias("container_id"))]
-    rest, left, round_no = items.filter(F.col("size") < capacity), None, 0
+    rest, round_no = items.filter(F.col("size") < capacity), 0
     while True:
         n = rest.count()
         if not n:
@@ -171,10 +194,9 @@ def pack(
         if blocks == 1:
             done.append(packed.select("doc_id", "part", "start", "size", name))
             break
-        # bins as full as the block's best stay; where sizes forbid that for most bins, the better half does, so that rounds go on shrinking
-        kept = F.col("used") >= (F.col("middle") if left is not None and n > left // 2 else full * F.col("best"))
+        kept = F.col("used") >= F.least(full * F.col("best"), F.col("middle"))
         done.append(packed.filter(kept).select("doc_id", "part", "start", "size", name))
-        rest, left, round_no = packed.filter(~kept).select("doc_id", "part", "start", "size"), n, round_no + 1
+        rest, round_no = packed.filter(~kept).select("doc_id", "part", "start", "size"), round_no + 1
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

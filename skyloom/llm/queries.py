@@ -31,12 +31,12 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p7_ids, p8_containers, p9_found, p9_forms)}
 
-# Look-alike letters and the letters they look like, wide forms and theirs, for the SQL form of the mapping.
-_FROM = "асԁеһіјӏорԛѕѵԝхуАВСЕԌНІЈКМОРԚЅТѴԜХУҮονϲϳΑΒϹΕΖΗΙͿΚΜΝΟΡΤΥΧ"
-_TO = "acdehijlopqsvwxyABCEGHIJKMOPQSTVWXYYovcjABCEZHIJKMNOPTYX"
-_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "\u3000\u00a0\u2007\u202f"
-_NARROW = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + "    "
-_ROOMLESS = "[\u00ad\u034f\u061c\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\ufe00-\ufe0f\ufeff]"
+# the SQL form of the mapping: one letter for another, wide and narrow forms beside the plain ones
+_FROM, _TO = "".join(lookalikes.LOOKALIKES), "".join(lookalikes.LOOKALIKES.values())
+_FORMS = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in [0x3000, *range(0xFF01, 0xFFEF)] if unicodedata.decomposition(chr(c)).startswith(("<wide", "<narrow"))}
+_WIDE = "".join(c for c, plain in _FORMS.items() if len(plain) == 1) + lookalikes.FIXED_SPACES
+_NARROW = "".join(plain for plain in _FORMS.values() if len(plain) == 1) + " " * len(lookalikes.FIXED_SPACES)
+_ROOMLESS = "[" + "".join(a if a == b else f"{a}-{b}" for a, b in lookalikes.ROOMLESS) + "]"
 # composed letters whose bare letter has a look-alike, decomposed
 _ACCENTED = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in range(0x370, 0x590) if unicodedata.normalize("NFD", chr(c))[0] in _FROM and chr(c) not in _FROM}
 
@@ -51,6 +51,7 @@ def _sql_form() -> str:
 
 
 SQL = {
+    "p9_forms": f"select doc_id, {_sql_form()} as form from documents",
     "p9_found": f"""
 with f as (select doc_id, text, {_sql_form()} as form from documents where text is not null)
 select distinct least(a.doc_id, b.doc_id) as doc_id_a, greatest(a.doc_id, b.doc_id) as doc_id_b

@@ -64,11 +64,40 @@ def test_children_are_whole_and_evolution_never_gets_worse():
     assert packing.fitness(packing.evolve(people, sizes, 2048, 30, (3,))[0], sizes, 2048) >= before
 
 
-def test_evolution_beats_its_start_where_best_fit_fails():
-    # halves, thirds and sixths of the capacity with slack nowhere: best fit in decreasing order needs more bins than the optimum
-    sizes = np.array([51, 27, 23, 23, 50, 26, 24, 52, 25, 23, 49, 28, 23] * 3)
-    capacity = 100
-    start = packing._start(sizes, capacity, 4, (5,))
-    end = packing.evolve(start, sizes, capacity, 300, (6,))[0]
-    assert packing.fitness(end, sizes, capacity) >= packing.fitness(start[0], sizes, capacity)
-    assert np.bincount(end, sizes).max() <= capacity
+def triplets(n, seed):
+    """Sizes of n bins of 1000, three to a bin without any room left."""
+    rng = np.random.default_rng(seed)
+    first = rng.integers(380, 490, n)
+    second = np.array([rng.integers(250, (1000 - a) // 2) for a in first])
+    return np.concatenate([first, second, 1000 - first - second])
+
+
+@pytest.mark.parametrize("n", [60, 90])
+def test_evolution_needs_fewer_bins_than_best_fit(n):
+    sizes = triplets(n, 1)
+    decreasing = max(packing._solve(np.argsort(-sizes, kind="stable").tolist(), sizes.tolist(), 1000)) + 1
+    start = packing._start(sizes, 1000, 6, (5,))
+    end = packing.evolve(start, sizes, 1000, 1500, (6,), patience=400)[0]
+    assert np.bincount(end, sizes).max() <= 1000 and end.max() + 1 >= n
+    assert end.max() + 1 < min(p.max() + 1 for p in start) and end.max() + 1 < decreasing
+
+
+def test_containers_of_evolved_blocks_are_fewer(spark):
+    df = spark.createDataFrame([(i, int(x)) for i, x in enumerate(triplets(50, 2))], "doc_id bigint, n_tokens bigint")
+    plain, evolved = (packing.pack(df, 1000, generations=g).select("container_id").distinct().count() for g in (0, 400))
+    assert evolved < plain
+
+
+@pytest.mark.parametrize("n", [49, 50, 51, 99, 101])
+def test_around_the_size_of_a_block(spark, n):
+    items = [(i, 300 + i % 7) for i in range(n)]
+    df = spark.createDataFrame(items, "doc_id bigint, n_tokens bigint")
+    fill = check(packing.pack(df, 2048, block_items=50, generations=5).collect(), items, 2048)
+    assert len(fill) <= -(-n // 6) + 1
+
+
+def test_evolution_ends_at_the_least_possible():
+    sizes = np.array([512] * 40)
+    start = packing._start(sizes, 2048, 2, (1,))
+    assert start[0].max() + 1 == 10
+    assert packing.evolve(start, sizes, 2048, 10**9, (2,))[0].max() + 1 == 10
