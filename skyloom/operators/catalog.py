@@ -10,20 +10,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyloom.functions.identity import identity, text_of
+from skyloom.functions.identity import json_real, json_text, json_truth, json_whole, stable_hash, texts
 from skyloom.functions.scalars import trimmed
+from skyloom.operators.reports import digest
+from skyloom.operators.upsert import retire, upsert, upsert_counts
+from skyloom.session import cut_lineage, maybe_broadcast
 
 # Names under which catalogues give a field, in order of preference.
 COLUMN_NAMES = {
-    "source_id": ("source_id", "target_id", "id", "ID", "Name", "name"),
-    "source_name": ("source_name", "Name", "name", "target_name"),
-    "ra_deg": ("ra_deg", "RA_deg", "ra", "RA", "RAJ2000"),
-    "dec_deg": ("dec_deg", "DEC_deg", "dec", "DEC", "DEJ2000"),
-    "cutout_size_arcsec": ("cutout_size_arcsec", "size_arcsec"),
-    "source_type": ("source_type", "type"),
-    "priority": ("priority",),
-    "active": ("active", "enabled"),
+    "source_id": ("source_id", "sourceid", "Name", "name", "object_id", "objid", "ID", "id"),
+    "source_name": ("source_name", "source", "Name", "name", "object_name", "objname", "tns_name"),
+    "ra_deg": ("ra_deg", "RA_deg", "radeg", "RAJ2000_deg", "RAJ2000", "ra", "RA"),
+    "dec_deg": ("dec_deg", "DEC_deg", "dedeg", "DEJ2000_deg", "DEJ2000", "dec", "DEC", "Dec"),
+    "cutout_size_arcsec": ("cutout_size_arcsec", "cutout_arcsec", "size_arcsec", "cutout_size"),
+    "source_type": ("source_type", "Obj. Type", "object_type", "obj_type", "type", "Type"),
+    "priority": ("priority", "Priority"),
+    "active": ("active", "Active"),
+    "notes": ("notes", "Notes", "Remarks", "remarks", "comment", "comments"),
 }
+NEEDED = ("source_id", "source_name", "ra_deg", "dec_deg")
 # Words read as true or false.
 TRUE_WORDS, FALSE_WORDS = ("1", "true", "t", "yes", "y"), ("0", "false", "f", "no", "n")
 SIZE_LIMITS = (6.0, 3600.0)
@@ -35,8 +40,8 @@ def fold(name: str) -> str:
 
 
 def map_columns(columns: Sequence[str], names: dict[str, Sequence[str]] = COLUMN_NAMES) -> dict[str, str]:
-    """Field to column: an exact name first, in order of preference, then the same folded."""
-    folded = {fold(c): c for c in reversed(columns)}
+    """Field to column: an exact name first, in order of preference, then the same folded; of columns that fold to one name the last counts."""
+    folded = {fold(c): c for c in columns}
     found = {}
     for field, candidates in names.items():
         hit = next((c for c in candidates if c in columns), None) or next((folded[fold(c)] for c in candidates if fold(c) in folded), None)
@@ -58,24 +63,33 @@ def flag(c: Column | str, default: bool = True) -> Column:
 
 def row_hash(df: DataFrame) -> Column:
     """Identity of a normalised row; positions to ten decimals, sizes to four."""
-    fields = [text_of("source_id"), text_of("source_name"), text_of("ra_deg", 10), text_of("dec_deg", 10), text_of("cutout_size_arcsec", 4), text_of("source_type"), text_of("priority"), text_of("active")]
-    return identity(*fields, *([text_of("extra_json")] if "extra_json" in df.columns else []))
+    extra = F.coalesce(F.nullif("extra_json", F.lit("")), F.lit("{}")) if "extra_json" in df.columns else F.lit("{}")
+    rounded = {"ra_deg": json_real("ra_deg", 10), "dec_deg": json_real("dec_deg", 10), "cutout_size_arcsec": json_real("cutout_size_arcsec", 4)}
+    return stable_hash(texts("source_id", "source_name", "source_type") | rounded | {"priority": json_whole("priority"), "active": json_truth("active"), "extra_json": json_text(extra)})
 
 
-def normalize(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
+def missing_columns(columns: Sequence[str], needed: Sequence[str] = NEEDED, mapping: dict[str, str] | None = None) -> list[str]:
+    """Needed fields for which a table has no column."""
+    m = map_columns(columns) if mapping is None else mapping
+    return [f for f in needed if m.get(f) not in columns]
+
+
+def normalize(df: DataFrame, mapping: dict[str, str] | None = None, position: Column | None = None) -> DataFrame:
     """The catalogue's fields under fixed names, ids normalised, all other columns kept as JSON, and a row hash.
 
-    The id falls back to the normalised name; rows with neither keep a null id and fail the row checks.
+    The id falls back to the normalised name and, where the row's ``position`` in its input is given (from 1), to a
+    number made of it; rows without any of these keep a null id and fail the row checks.
     """
     m = map_columns(df.columns) if mapping is None else mapping
-    take = lambda f, kind: (F.col(m[f]) if f in m else F.lit(None)).try_cast(kind)
+    take = lambda f, kind: (F.col(f"`{m[f]}`") if f in m else F.lit(None)).try_cast(kind)
     rest = [c for c in df.columns if c not in m.values()]
+    ids = [normal_id(take("source_id", "string")), normal_id(take("source_name", "string")), *([F.format_string("SRC_%06d", position)] if position is not None else [])]
     out = df.select(
-        F.coalesce(normal_id(take("source_id", "string")), normal_id(take("source_name", "string"))).alias("source_id"),
+        F.coalesce(*ids).alias("source_id"),
         F.nullif(trimmed(take("source_name", "string")), F.lit("")).alias("source_name"),
         take("ra_deg", "double").alias("ra_deg"), take("dec_deg", "double").alias("dec_deg"), take("cutout_size_arcsec", "double").alias("cutout_size_arcsec"),
         F.nullif(trimmed(take("source_type", "string")), F.lit("")).alias("source_type"), take("priority", "int").alias("priority"), flag(take("active", "string")).alias("active"),
-        (F.to_json(F.struct(*rest)) if rest else F.lit("{}")).alias("extra_json"),
+        (F.to_json(F.struct(*(F.col(f"`{c}`") for c in rest))) if rest else F.lit("{}")).alias("extra_json"),
     )
     return out.withColumn("row_hash", row_hash(out))
 
@@ -102,7 +116,33 @@ def checked(df: DataFrame) -> DataFrame:
     Counts are made per id before they meet the rows, so that an id that holds most rows is no large group.
     """
     counts = df.groupBy("source_id").agg(F.count(F.lit(1)).alias("id_count")).filter("source_id is not null and id_count > 1")
-    return df.join(counts, "source_id", "left").withColumn("errors", row_errors()).drop("id_count")
+    # ids that are given more than once are the exception; where they are few the rows themselves are not shuffled
+    return df.join(maybe_broadcast(counts), "source_id", "left").withColumn("errors", row_errors()).drop("id_count")
+
+
+def duplicate_ids(df: DataFrame) -> DataFrame:
+    """Ids that a catalogue gives more than once, and ``(blank)`` for rows without one, with their row counts."""
+    ids = df.groupBy(F.coalesce(F.nullif(trimmed("source_id"), F.lit("")), F.lit("(blank)")).alias("source_id")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return ids.filter("n_rows > 1 or source_id = '(blank)'")
+
+
+def ingest(rows: DataFrame, table: DataFrame, version: Column, now: Column) -> dict[str, DataFrame]:
+    """A catalogue's normalised rows taken into the table of sources.
+
+    ``table`` has a row per source_id with the normalised fields, row_hash, catalog_version_id, first_seen_at,
+    last_seen_at, retired_at. Gives ``snapshot`` (the rows that are valid, under the version, to be written by version),
+    ``errors``, ``table`` after the upsert (first_seen_at is kept, sources that are no longer given are retired) and
+    ``version``: the version's row with counts, a digest of the rows, and how many sources are new, updated, unchanged
+    and missing. Whoever writes them decides whether errors stop the ingest.
+    """
+    marked = cut_lineage(checked(rows))
+    snapshot = marked.filter(F.size("errors") == 0).drop("errors").withColumn("catalog_version_id", version)
+    fresh = snapshot.withColumns({"first_seen_at": now, "last_seen_at": now, "retired_at": F.lit(None).cast("timestamp")}).select(*table.columns)
+    after = retire(upsert(table, fresh, ["source_id"], preserve=["first_seen_at"]), fresh, ["source_id"], "active", "retired_at", now)
+    given = marked.agg(F.count(F.lit(1)).alias("n_rows_input"), F.count_if(F.size("errors") == 0).alias("n_rows_valid"), F.count_if(F.size("errors") > 0).alias("n_rows_invalid"), digest(F.col("row_hash")).alias("catalog_hash"))
+    counts = upsert_counts(table, fresh, ["source_id"], "row_hash")
+    row = given.withColumns({c: counts.select(c).scalar() for c in counts.columns}).withColumn("catalog_version_id", version)
+    return {"snapshot": snapshot, "errors": marked.filter(F.size("errors") > 0), "table": after, "version": row}
 
 
 def latest_states(log: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from skyloom.session import BROADCAST_ROWS, cut_lineage, maybe_broadcast
 
-SCHEMA = "record_id bigint, file_id string, name string, ra_deg double, dec_deg double, cutout_size_arcsec double, notes string, reason string"
+SCHEMA = "record_id bigint, file_id string, name string, ra_deg double, dec_deg double, cutout_size_arcsec double, notes string, reason string, line_no int"
 FIELDS = ("Name", "RA_deg", "DEC_deg", "cutout_size_arcsec", "notes")
 REASONS = ("quoting", "column_count", "bad_name", "bad_ra", "bad_dec", "bad_size")
 QUOTED = r'"(?:[^"]|"")*"'
@@ -150,7 +150,7 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for k in pc.unique(headers.indices).to_pylist() if batch.num_rows else []:
             mine = batch.filter(pc.is_null(headers.indices) if k is None else pc.fill_null(pc.equal(headers.indices, k), False))
             table = parse_records(None if k is None else headers.dictionary[k].as_py(), mine.column("raw_line"))
-            out = pa.table({"record_id": mine.column("record_id"), "file_id": mine.column("file_id"), **{n: table.column(n) for n in table.column_names}})
+            out = pa.table({"record_id": mine.column("record_id"), "file_id": mine.column("file_id"), **{n: table.column(n) for n in table.column_names}, "line_no": mine.column("line_no")})
             yield from out.combine_chunks().to_batches()
 
 
@@ -174,4 +174,4 @@ def load_records(records: DataFrame, rows_per_task: int = 200_000, broadcast_row
         large = maybe_broadcast(files.filter("parts > 1").select("file", F.col("parts").alias("of")), broadcast_rows)
         body = body.join(large, "file", "left").withColumn("part", F.pmod(F.xxhash64("record_id", "line_no", "raw_line"), F.coalesce("of", F.lit(1))))
         joined = body.join(files.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))), ["file", "part"], "left")
-    return joined.select("record_id", "file_id", "raw_line", "header").mapInArrow(_parse_batches, SCHEMA)
+    return joined.select("record_id", "file_id", "raw_line", "header", F.col("line_no").cast("int").alias("line_no")).mapInArrow(_parse_batches, SCHEMA)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyloom.functions.identity import identity
 from skyloom.functions.scalars import digest_text
 from skyloom.operators import background, calibration, catalog, components, discovery, fit, measure, ordering, pixels, psf, reports, selection, upsert
 from skyloom.session import load
@@ -52,15 +51,19 @@ def _measured(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- catalogue
 
+# a number as JSON: rounded, small ones with an exponent
+_NUMBER = lambda c, digits: f"coalesce(case when abs({c}) < 1e-4 and round({c}, {digits}) <> 0 then printf('%.10g', round({c}, {digits})) else cast(round({c}, {digits}) as varchar) end, 'null')"
+
 
 @query(f"""
 select source_id, nullif(trim(regexp_replace(regexp_replace(trim(source_name), '\\s+', '_', 'g'), '[^A-Za-z0-9_.:-]+', '_', 'g'), '_'), '') as name_id,
-  sha256(source_id || '|' || coalesce(source_name, '~') || '|' || coalesce(printf('%.10f', ra_deg), '~') || '|' || coalesce(printf('%.10f', dec_deg), '~') || '|' || coalesce(printf('%.4f', cutout_size_arcsec), '~')
-    || '|' || coalesce(source_type, '~') || '|' || coalesce(cast(priority as varchar), '~') || '|' || (case when coalesce(active, 1) <> 0 then 'true' else 'false' end)) as row_key
+  sha256('{{"active":' || case when coalesce(active, 1) <> 0 then 'true' else 'false' end || ',"cutout_size_arcsec":' || {_NUMBER('cutout_size_arcsec', 4)} || ',"dec_deg":' || {_NUMBER('dec_deg', 10)}
+    || ',"extra_json":' || to_json(coalesce(nullif(extra_json, ''), '{{}}')) || ',"priority":' || coalesce(cast(priority as varchar), 'null') || ',"ra_deg":' || {_NUMBER('ra_deg', 10)}
+    || ',"source_id":' || to_json(source_id) || ',"source_name":' || coalesce(cast(to_json(source_name) as varchar), 'null') || ',"source_type":' || coalesce(cast(to_json(source_type) as varchar), 'null') || '}}') as row_key
 from ({_STATES})""")
 def catalog_states(spark: SparkSession, d: str) -> DataFrame:
     """Normalised names and row identities of each source's last state."""
-    s = _states(spark, d).drop("extra_json").withColumn("active", catalog.flag(F.col("active").cast("string")))
+    s = _states(spark, d).withColumn("active", catalog.flag(F.col("active").cast("string")))
     return s.select("source_id", catalog.normal_id("source_name").alias("name_id"), catalog.row_hash(s).alias("row_key"))
 
 
@@ -120,16 +123,16 @@ def discovery_file_metadata(spark: SparkSession, d: str) -> DataFrame:
     return urls.select("access_url", "file_name", *(m[k].alias(k) for k in ("detector", "period", "version", "date", "observation")))
 
 
-_ID = lambda *c: "sha256(" + " || '|' || ".join(f"coalesce(cast({x} as varchar), '~')" for x in c) + ")"
+_ID = lambda *c: "sha256(cast(json_object(" + ", ".join(f"'{x}', {x}" for x in sorted(c)) + ") as varchar))"
 
 
-@query(f"""select snapshot_row_id, case when coalesce(obs_publisher_did, '') <> '' then {_ID('collection', 'obs_publisher_did', 'processing_version', 'processing_date')}
+@query(f"""select snapshot_row_id, case when obs_publisher_did <> '' then {_ID('collection', 'obs_publisher_did', 'processing_version', 'processing_date')}
   else {_ID('collection', 'access_url', 'parent_filename', 'observation_id', 'detector_id', 'processing_version', 'processing_date')} end as signature,
   {_ID('collection', 'obs_publisher_did', 'obs_id', 'access_url', 'parent_filename', 'processing_version', 'processing_date')} as row_key from discovery_products""")
 def discovery_signatures(spark: SparkSession, d: str) -> DataFrame:
     """Content-addressed identity of every listed product and of its row."""
     t = load(spark, d, "discovery_products")
-    return t.select("snapshot_row_id", discovery.product_signature().alias("signature"), identity("collection", "obs_publisher_did", "obs_id", "access_url", "parent_filename", "processing_version", "processing_date").alias("row_key"))
+    return t.select("snapshot_row_id", discovery.product_signature().alias("signature"), discovery.product_row_hash().alias("row_key"))
 
 
 @query("""select snapshot_row_id, access_url || '?center=' || printf('%.10f', s_ra) || ',' || printf('%.10f', s_dec) || '&size=0.05' as url from discovery_products where s_ra is not null and s_dec is not null and access_url is not null""")

@@ -35,14 +35,16 @@ def test_retire_and_counts(spark):
 
 def test_column_mapping_prefers_exact_names_in_order():
     assert catalog.map_columns(["name", "Name", "ra", "D.E.C", "size_arcsec"]) == {"source_id": "Name", "source_name": "Name", "ra_deg": "ra", "dec_deg": "D.E.C", "cutout_size_arcsec": "size_arcsec"}
+    assert catalog.map_columns(["id", "Name", "S.I.D", "sid"])["source_id"] == "Name" and catalog.map_columns(["R.A", "r_a"])["ra_deg"] == "r_a"
+    assert catalog.missing_columns(["Name", "ra"]) == ["dec_deg"]
     assert catalog.map_columns([]) == {}
 
 
 def test_normalized_catalogue(spark):
-    df = spark.createDataFrame([(" a  b/c ", "10", "-5", "", "no", "n1"), ("***", "x", "91", "7000", "maybe", None)], "Name string, RA_deg string, DEC_deg string, cutout_size_arcsec string, active string, note string")
+    df = spark.createDataFrame([(" a  b/c ", "10", "-5", "", "no", "n1"), ("***", "x", "91", "7000", "maybe", None)], "Name string, RA_deg string, DEC_deg string, cutout_size_arcsec string, active string, remark string")
     got = catalog.checked(catalog.normalize(df)).orderBy("source_name").collect()
     bad, good = got[0], got[1]
-    assert (good.source_id, good.source_name, good.ra_deg, good.active, good.errors) == ("a_b_c", "a  b/c", 10.0, False, []) and good.extra_json == '{"note":"n1"}' and len(good.row_hash) == 64
+    assert (good.source_id, good.source_name, good.ra_deg, good.active, good.errors) == ("a_b_c", "a  b/c", 10.0, False, []) and good.extra_json == '{"remark":"n1"}' and len(good.row_hash) == 64
     assert bad.source_id is None and bad.active and bad.errors == ["missing_id", "bad_ra", "bad_dec", "bad_size"]
 
 
