@@ -6,28 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyloom.session import cut_lineage
+from skyloom.operators.images import connected_pixels
 
 
 def connected_components(pixels: DataFrame, width: int) -> DataFrame:
     """``image_id, y, x, component``: each masked pixel with the first pixel (``y * width + x``) of its component.
 
-    Labels spread to the smallest among the neighbours, and each round a pixel also takes the label of its label, so
-    that labels travel further and further until nothing changes. Lineage is cut after each round. Components never
-    reach beyond an image, so all joins are by image.
+    Components never reach beyond an image, so every image's places are brought together once and labelled there.
     """
-    state = cut_lineage(pixels.select("image_id", "y", "x", (F.col("y") * width + F.col("x")).alias("label")).repartition("image_id"))
-    near = F.explode(F.expr("array(-1, 0, 1)"))
-    while True:
-        spread = state.withColumn("dy", near).withColumn("dx", near).select("image_id", "label", (F.col("y") + F.col("dy")).alias("y"), (F.col("x") + F.col("dx")).alias("x"))
-        nearest = spread.groupBy("image_id", "y", "x").agg(F.min("label").alias("least"))
-        moved = state.join(nearest, ["image_id", "y", "x"]).select("image_id", "y", "x", "label", "least")
-        roots = moved.select("image_id", (F.col("y") * width + F.col("x")).alias("least"), F.col("least").alias("further"))
-        jumped = moved.join(roots, ["image_id", "least"]).select("image_id", "y", "x", F.col("further").alias("label"), (F.col("further") != F.col("label")).alias("changed"))
-        jumped = cut_lineage(jumped)
-        state = jumped.select("image_id", "y", "x", "label")
-        if jumped.filter("changed").isEmpty():
-            return state.withColumnRenamed("label", "component")
+    return connected_pixels(pixels.select("image_id", "y", "x").distinct(), width)
 
 
 def summarize(members: DataFrame, x0: float, y0: float) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyloom.functions.scalars import digest_text
-from skyloom.operators import background, calibration, catalog, components, discovery, fit, measure, ordering, pixels, psf, reports, selection, upsert
+from skyloom.operators import background, calibration, catalog, components, discovery, fit, images, measure, ordering, pixels, psf, reports, selection, upsert
 from skyloom.session import load
 from skyloom.streaming import events
 
@@ -306,6 +306,19 @@ def _pixels(spark: SparkSession, d: str) -> DataFrame:
     return p.withColumn("flag", flag.cast("bigint")).withColumn("template", pixels.gaussian_template(3.3, 3.6)).withColumn("second", pixels.gaussian_template(5.2, 2.1))
 
 
+def _images(spark: SparkSession, d: str) -> DataFrame:
+    """The same images as rows with arrays."""
+    e = load(spark, d, "embeddings").select(F.col("vec_id").alias("image_id"), F.lit(8).alias("width"), F.col("embedding").cast("array<double>").alias("value"))
+    key = lambda i, a, b: F.col("image_id") * a + i * b
+    at = F.sequence(F.lit(0), F.size("value") - 1)
+    bit = lambda i, a, b, n, name: F.when(key(i, a, b) % n == 0, _BITS[name]).otherwise(0).cast("bigint")
+    bump = F.transform(at, lambda i: F.exp(-0.5 * (F.pow((i % 8 - 3.3) / 1.2, 2) + F.pow((F.floor(i / 8) - 3.6) / 1.2, 2))))
+    return e.withColumns({
+        "variance": F.transform(at, lambda i: (5 + key(i, 7, 3) % 11) / 1000.0),
+        "flag": F.transform(at, lambda i: bit(i, 31, 17, 23, "SOURCE") + bit(i, 13, 7, 29, "NONFUNC") + bit(i, 5, 11, 37, "OVERFLOW")), "template": bump,
+    })
+
+
 _PIX = f"""
 e as (select vec_id as image_id, unnest(embedding) as value, generate_subscripts(embedding, 1) - 1 as i from embeddings),
 r as (select image_id, i, i // 8 as y, i % 8 as x, cast(value as double) as value, (5 + (image_id * 7 + i * 3) % 11) / 1000.0 as variance,
@@ -336,7 +349,7 @@ select image_id, count(*) filter (where fit) as n_fit, count(*) filter (where ba
   round(coalesce(sum(template) filter (where hard_bad), 0) / sum(template), 8) as template_hard_bad, cast(0 as double) as template_bad_variance from m group by 1""")
 def image_masks(spark: SparkSession, d: str) -> DataFrame:
     """Counts, shares and flag unions of every image's masks."""
-    return _ROUND(pixels.mask_statistics(_masked(spark, d)))
+    return _ROUND(images.image_masks(_images(spark, d), 3.3, 3.6))
 
 
 @query("with " + _PIX + " select image_id, name as flag_name, count(*) as n_pixels from p, (values " + ", ".join(f"('{k}', {v})" for k, v in _BITS.items()) + ") b(name, bit) where (flag & bit) <> 0 group by 1, 2")
@@ -376,7 +389,7 @@ select image_id, n_pixels, n_pixels >= 12 as ok, case when n_pixels >= 12 then r
 @query("with " + _PIX + ",\n" + _plane_sql(background.ROUNDS) + _PLANE)
 def image_background(spark: SparkSession, d: str) -> DataFrame:
     """The clipped plane under every image."""
-    return _ROUND(background.clipped_plane(_masked(spark, d), "background", 3.5, 3.5))
+    return _ROUND(images.backgrounds(_images(spark, d), 3.3, 3.6, (3.5, 3.5), "plane"))
 
 
 _CALM = """w0 as (select *, true as calm from m where fit and not protected),
@@ -389,8 +402,7 @@ w2 as (select w1.* exclude (calm), abs(value - mid) <= 3 * sigma as calm from w1
 @query("with " + _PIX + ",\n" + _CALM + ",\n" + _plane_sql(background.ROUNDS, "w2 where calm") + _PLANE)
 def image_calm_background(spark: SparkSession, d: str) -> DataFrame:
     """The plane through the sound pixels of every image that aren't bright, whatever their flags."""
-    m = _masked(spark, d).withColumn("sound", F.col("fit") & ~F.col("protected"))
-    return _ROUND(background.clipped_plane(background.without_bright(m, "sound", "calm"), "calm", 3.5, 3.5))
+    return _ROUND(images.backgrounds(_images(spark, d), 3.3, 3.6, (3.5, 3.5), "calm"))
 
 
 @query("with " + _PIX + """,
@@ -402,7 +414,7 @@ c1 as (select image_id, median(value) as mid, count(*) as n from c0 group by 1)
 select c0.image_id, any_value(n) as n_pixels, round(any_value(mid), 8) as value, round(1.4826 * median(abs(value - mid)), 8) as sigma from c0 join c1 using (image_id) group by 1""")
 def image_constant_background(spark: SparkSession, d: str) -> DataFrame:
     """The clipped median of every image."""
-    return _ROUND(background.clipped_median(_masked(spark, d), "fit"))
+    return _ROUND(images.backgrounds(_images(spark, d), 3.3, 3.6, (3.5, 3.5), "constant"))
 
 
 _POINT = """q as (select image_id, count(*) as n, sum(template * value / variance) as td, sum(template * template / variance) as tt, sum(value * value / variance) as dd, sum(template / variance) as t1 from m where fit group by 1)"""
@@ -459,8 +471,7 @@ cc as (select b.image_id, b.y, b.x, value, variance, seed as component from b jo
 
 
 def _members(spark: SparkSession, d: str) -> DataFrame:
-    bright = _pixels(spark, d).filter("value > 0.1").select("image_id", "y", "x", "value", "variance")
-    return components.connected_components(bright, 8).join(bright, ["image_id", "y", "x"])
+    return images.bright_areas(_images(spark, d), 0.1)
 
 
 @query(_COMP + " select image_id, y, x, component from cc")
