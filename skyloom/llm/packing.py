@@ -155,8 +155,10 @@ def _pack_blocks(items: DataFrame, blocks: int, capacity: int, salt: int, island
     dealt = items.withColumn("block", F.pmod(F.xxhash64("doc_id", "part", "size", F.lit(salt)), F.lit(blocks)).cast("int"))
     members = cut_lineage(dealt.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("size", "doc_id", "part", "start"))).alias("items")))
     state = members.select("block", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), F.col("items.size").alias("sizes"), F.lit(None).cast("array<array<int>>").alias("population"), F.lit(None).cast("array<int>").alias("guest"))
+    # an island is seconds of work on little data: their number, not their bytes, says how many tasks they take
+    tasks = max(1, min(blocks * islands, max(4 * items.sparkSession.sparkContext.defaultParallelism, blocks * islands // 50)))
     for epoch in range(epochs):
-        state = state.repartition("block", "island").mapInArrow(_epoch(capacity, individuals, generations, epoch), STATE)
+        state = state.repartition(tasks, "block", "island").mapInArrow(_epoch(capacity, individuals, generations, epoch), STATE)
         if epoch + 1 < epochs:
             # every island hands its best solution to the next one
             ring = F.array_sort(F.collect_list(F.struct("island", "sizes", "population")))
