@@ -31,3 +31,28 @@ def detector_pixel(x: Column, y: Column, crpix1: Column, crpix2: Column) -> tupl
 def mjd_time(mjd: Column) -> Column:
     """UTC time of a modified Julian date."""
     return F.timestamp_seconds((mjd - 40587) * 86400)
+
+
+def polynomial(u: Column, v: Column, terms: dict[tuple[int, int], float | Column]) -> Column:
+    """The sum of coefficients times powers of u and v."""
+    out = F.lit(0.0)
+    for (p, q), c in sorted(terms.items()):
+        out = out + (c if isinstance(c, Column) else F.lit(float(c))) * F.pow(u, F.lit(float(p))) * F.pow(v, F.lit(float(q)))
+    return out
+
+
+def to_image(ra: Column, dec: Column, ra0: Column, dec0: Column, cd: tuple[Column, Column, Column, Column], crpix: tuple[Column, Column], a: dict, b: dict, turns: int = 12) -> tuple[Column, Column]:
+    """Pixel, counted from 0, of a position on an image with a matrix of scales and distortion polynomials; null for the far half of the sky.
+
+    ``cd`` are the four entries row by row. The polynomials give the way from pixels to the sky, so the way back is
+    found in turns: what is distorted from the place found so far is taken off the place wanted.
+    """
+    d, d0, dra = F.radians(dec), F.radians(dec0), F.radians(ra - ra0)
+    ahead = F.sin(d0) * F.sin(d) + F.cos(d0) * F.cos(d) * F.cos(dra)
+    xi = F.degrees(F.cos(d) * F.sin(dra) / ahead)
+    eta = F.degrees((F.cos(d0) * F.sin(d) - F.sin(d0) * F.cos(d) * F.cos(dra)) / ahead)
+    det = cd[0] * cd[3] - cd[1] * cd[2]
+    wanted = F.struct(((cd[3] * xi - cd[1] * eta) / det).alias("u"), ((cd[0] * eta - cd[2] * xi) / det).alias("v"))
+    found = F.transform(F.array(wanted), lambda w: F.aggregate(F.sequence(F.lit(1), F.lit(turns)), w, lambda t, _: F.struct((w.u - polynomial(t.u, t.v, a)).alias("u"), (w.v - polynomial(t.u, t.v, b)).alias("v"))))
+    at = F.get(found, F.lit(0))
+    return F.when(ahead > 0, at["u"] + crpix[0] - 1), F.when(ahead > 0, at["v"] + crpix[1] - 1)

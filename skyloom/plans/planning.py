@@ -36,15 +36,15 @@ def _links(spark: SparkSession, d: str) -> DataFrame:
 from ({_LINKS}) l join ({_STATES}) s using (source_id) join ({_PRODUCTS}) p using (product_id) where s.active = 1 and coalesce(s.cutout_size_arcsec, 180.0) between 6 and 3600""")
 def plan_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of an active source and a product that covers it, with the order of priorities and the size to cut."""
-    s = _states(spark, d).select("source_id", "active", "priority", "cutout_size_arcsec").filter("cutout_size_arcsec is null or cutout_size_arcsec between 6 and 3600")
-    found = planning.candidates(_links(spark, d), s, _products(spark, d).select("product_id", "collection"))
+    s = _states(spark, d, "active", "priority", "cutout_size_arcsec").select("source_id", "active", "priority", "cutout_size_arcsec").filter("cutout_size_arcsec is null or cutout_size_arcsec between 6 and 3600")
+    found = planning.candidates(_links(spark, d), s, _products(spark, d, "collection").select("product_id", "collection"))
     return found.select("source_id", "product_id", "collection", planning.priority_rank().alias("priority_rank"), planning.effective_size("cutout_size_arcsec", 180.0).alias("size_arcsec"))
 
 
 @query(f"""select source_id, row_number() over (order by coalesce(priority, 999999), source_id) - 1 as place from ({_STATES}) where active = 1""")
 def plan_order(spark: SparkSession, d: str) -> DataFrame:
     """Place of each active source in the order of priorities, null priorities last."""
-    s = planning.active_sources(_states(spark, d).select("source_id", "active", "priority")).select("source_id", F.lit("all").alias("key"), planning.priority_rank().alias("rank"))
+    s = planning.active_sources(_states(spark, d, "active", "priority").select("source_id", "active", "priority")).select("source_id", F.lit("all").alias("key"), planning.priority_rank().alias("rank"))
     # priorities are few; within one, ids are cut by their first signs
     slices = F.concat(F.format_string("%010d", F.col("rank") + 1_000_000_000), F.rpad(F.substring("source_id", 1, 6), 6, " "))
     return ordering.places(s, "key", slices, [F.col("rank"), F.col("source_id")]).select("source_id", "place")
@@ -65,14 +65,14 @@ from ({_LINKS}) l left join ({_STATES}) s using (source_id) left join ({_PRODUCT
 def plan_work_items(spark: SparkSession, d: str) -> DataFrame:
     """Every pair of source and product with its calibrations, and whether there is a measurement of it that is fit for science."""
     m = _measured(spark, d).filter("product_id is not null and science_recommended = 1").groupBy("source_id", "product_id").agg(F.count(F.lit(1)).alias("n_measurements"), F.max("created_at").alias("last_measured"))
-    items = planning.work_items(_links(spark, d), _states(spark, d).select("source_id", "source_type"), _products(spark, d).select("product_id", "detector_id"), _by_detector(spark, d), m)
+    items = planning.work_items(_links(spark, d), _states(spark, d, "source_type").select("source_id", "source_type"), _products(spark, d, "detector_id").select("product_id", "detector_id"), _by_detector(spark, d), m)
     return items.select("source_id", "product_id", "source_type", "detector_id", "spectral_wcs_id", "solid_angle_id", "n_measurements", "last_measured", "measured")
 
 
 @query(f"""select l.source_id, l.product_id, s.source_name, p.collection, p.obs_id, p.detector_id from ({_LINKS}) l join ({_STATES}) s using (source_id) join ({_PRODUCTS}) p using (product_id)""")
 def discovery_manifest(spark: SparkSession, d: str) -> DataFrame:
     """Every pair of source and product with what names them."""
-    return _links(spark, d).join(_states(spark, d).select("source_id", "source_name"), "source_id").join(_products(spark, d).select("product_id", "collection", "obs_id", "detector_id"), "product_id")
+    return _links(spark, d).join(_states(spark, d, "source_name").select("source_id", "source_name"), "source_id").join(_products(spark, d, "collection", "obs_id", "detector_id").select("product_id", "collection", "obs_id", "detector_id"), "product_id")
 
 
 @query(f"""select s.source_id, s.active, coalesce(n, 0) as n_measurements, coalesce(n_science, 0) as n_science, coalesce(last_run, '-') as last_run
@@ -80,13 +80,13 @@ from ({_STATES}) s left join (select source_id, count(*) as n, count(*) filter (
 def source_summaries(spark: SparkSession, d: str) -> DataFrame:
     """Every source, measured or not, with counts of its measurements."""
     m = _measured(spark, d).groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("science_recommended") == 1).alias("s"), F.max("photometry_run_id").alias("r"))
-    return _states(spark, d).select("source_id", "active").join(m, "source_id", "left").select("source_id", "active", F.coalesce("n", F.lit(0)).alias("n_measurements"), F.coalesce("s", F.lit(0)).alias("n_science"), F.coalesce("r", F.lit("-")).alias("last_run"))
+    return _states(spark, d, "active").select("source_id", "active").join(m, "source_id", "left").select("source_id", "active", F.coalesce("n", F.lit(0)).alias("n_measurements"), F.coalesce("s", F.lit(0)).alias("n_science"), F.coalesce("r", F.lit("-")).alias("last_run"))
 
 
 @query(f"select product_id, detector_id from ({_PRODUCTS}) where product_id not in (select product_id from measurements where product_id is not null)")
 def unmeasured_products(spark: SparkSession, d: str) -> DataFrame:
     """Products that no measurement was made of."""
-    return planning.left_over(_products(spark, d).select("product_id", "detector_id"), load(spark, d, "measurements").filter("product_id is not null"), ["product_id"])
+    return planning.left_over(_products(spark, d, "detector_id").select("product_id", "detector_id"), load(spark, d, "measurements").filter("product_id is not null"), ["product_id"])
 
 
 @query(f"""with f as (select source_id, product_id, created_at, measurement_id, detection_status from ({_MEASURED}) where science_recommended = 0 and source_id is not null and product_id is not null),
@@ -102,7 +102,7 @@ def first_failures(spark: SparkSession, d: str) -> DataFrame:
 @query(f"select source_id, source_name from ({_STATES}) s where exists (select 1 from measurements m where m.source_id = s.source_id and m.science_recommended = 1)")
 def measured_sources(spark: SparkSession, d: str) -> DataFrame:
     """Sources with a measurement fit for science."""
-    return _states(spark, d).select("source_id", "source_name").join(load(spark, d, "measurements").filter("science_recommended = 1"), "source_id", "left_semi")
+    return _states(spark, d, "source_name").select("source_id", "source_name").join(load(spark, d, "measurements").filter("science_recommended = 1"), "source_id", "left_semi")
 
 
 @query(f"""select measurement_id, source_id, detection_status from ({_MEASURED}) where photometry_run_id = (select max_by(photometry_run_id, (created_at, photometry_run_id)) from measurements where photometry_run_id is not null)""")
@@ -280,7 +280,7 @@ def _ingest(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     rows = rows.withColumn("row_hash", catalog.row_hash(rows))
     now = F.lit("2026-02-01 00:00:00").cast("timestamp_ntz")
     cols = ["source_id", "source_name", "ra_deg", "dec_deg", "cutout_size_arcsec", "source_type", "priority", "active", "row_hash", "catalog_version_id", "first_seen_at", "last_seen_at", "retired_at"]
-    table = _states(spark, d).withColumn("active", catalog.flag(F.col("active").cast("string"))).select(*cols)
+    table = _states(spark, d, *(c for c in cols if c not in ("source_id", "last_seen_at"))).withColumn("active", catalog.flag(F.col("active").cast("string"))).select(*cols)
     return catalog.ingest(rows, table, F.lit("cat_next"), now)
 
 

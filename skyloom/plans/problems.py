@@ -58,6 +58,12 @@ def p2_scores(spark: SparkSession, d: str) -> DataFrame:
     return spikes.score_readings(_measurements(spark, d))
 
 
+def p2_rules(spark: SparkSession, d: str) -> DataFrame:
+    """The readings that are wrong by a rule alone: impossible or frozen ones."""
+    found = spikes.score_readings(_measurements(spark, d), flagged_only=True).filter("reason in ('limit', 'frozen')")
+    return found.select("measurement_id", "field_name", "reason").distinct()
+
+
 def _product_intervals(spark: SparkSession, d: str) -> DataFrame:
     t = load(spark, d, "discovery_products")
     state = {"row_hash": digest_text("row_hash"), "processing_version": F.col("processing_version")}
@@ -105,7 +111,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return h.select(F.col("key").alias("source_id"), F.col("value").alias("row_hash"), history.whole_seconds(F.col("valid_from")).alias("valid_from_s"), F.coalesce(history.whole_seconds(F.col("valid_to")), F.lit(-1)).cast("bigint").alias("valid_to_s"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_observations, p1_targets, p2_found, p2_scores, p3_found, p3_intervals, p4_found, p4_regions, p5_found, p5_rows, p6_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_observations, p1_targets, p2_found, p2_scores, p2_rules, p3_found, p3_intervals, p4_found, p4_regions, p5_found, p5_rows, p6_found)}
 
 _TRIM = "lower(trim({}, chr(32)||chr(9)||chr(10)||chr(13)||chr(11)||chr(12)))"
 
@@ -135,6 +141,16 @@ select source_id, count(*) as n_rows, count(retired_at) as n_retirements, last(s
   last({_TRIM.format('row_hash')} order by last_seen_at nulls first, source_pk) as latest_hash,
   last(active order by last_seen_at nulls first, source_pk) as latest_active
 from sources group by source_id""",
+    # runs of one value are counted on values rounded to six digits, written with an exponent
+    "p2_rules": """
+with m as (select distinct measurement_id, source_id, photometry_run_id, created_at, point_flux_uJy, wavelength_um, chi2_reduced from measurements),
+v as (select measurement_id, source_id, photometry_run_id, created_at, unnest(['point_flux_uJy', 'wavelength_um', 'chi2_reduced']) as field_name, unnest([point_flux_uJy, wavelength_um, chi2_reduced]) as value from m),
+h as (select *, printf('%.5e', value) as digits from v where value is not null),
+r as (select *, case when digits is not distinct from lag(digits) over w then 0 else 1 end as fresh from h window w as (partition by source_id, photometry_run_id, field_name order by created_at, measurement_id)),
+g as (select *, sum(fresh) over (partition by source_id, photometry_run_id, field_name order by created_at, measurement_id) as island from r),
+n as (select *, count(*) over (partition by source_id, photometry_run_id, field_name, island) as size from g)
+select distinct measurement_id, field_name, case when isnan(value) or isinf(value) or (field_name = 'wavelength_um' and not value between 0.7 and 5.1) or (field_name = 'chi2_reduced' and value < 0) then 'limit' else 'frozen' end as reason
+from n where isnan(value) or isinf(value) or (field_name = 'wavelength_um' and not value between 0.7 and 5.1) or (field_name = 'chi2_reduced' and value < 0) or (size >= 5 and source_id is not null)""",
     "p3_found": _LISTED + """
 select cast(n.snapshot_no as integer) as snapshot_no, coalesce(a.sig, b.sig) as product_signature,
   case when b.sig is null then 'removed' when a.sig is null then 'added' else 'changed' end as change_type
@@ -164,7 +180,7 @@ pv as (select v.sig, v.s_region, v.k, cos(v.dec) * sin(v.ra - m.ra) / (sin(m.dec
     (cos(m.dec) * sin(v.dec) - sin(m.dec) * cos(v.dec) * cos(v.ra - m.ra)) / (sin(m.dec) * sin(v.dec) + cos(m.dec) * cos(v.dec) * cos(v.ra - m.ra)) as y
   from v join m using (sig, s_region) where s_region like 'POLYGON%'),
 inside as (select pt.source_id, pt.sig from pt join pv v1 using (sig, s_region) join pv v2 on v2.sig = pt.sig and v2.s_region = pt.s_region and v2.k = v1.k % pt.n + 1
-  group by pt.source_id, pt.sig, pt.s_region having sum(case when (v1.y > pt.y) <> (v2.y > pt.y) and pt.x < (v2.x - v1.x) * (pt.y - v1.y) / (v2.y - v1.y) + v1.x then 1 else 0 end) % 2 = 1)
+  group by pt.source_id, pt.sig, pt.s_region, pt.x, pt.y having sum(case when (v1.y > pt.y) <> (v2.y > pt.y) and pt.x < (v2.x - v1.x) * (pt.y - v1.y) / (v2.y - v1.y) + v1.x then 1 else 0 end) % 2 = 1)
 select source_id, sig as product_signature from inside
 union
 select source_id, sig from s join (select * from v where k = 1 and s_region like 'CIRCLE%') c on s.dec between c.dec - c.r * 1.001 and c.dec + c.r * 1.001

@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
 from skyloom.functions import sky
@@ -67,7 +62,7 @@ def known_sources(spark: SparkSession, d: str) -> DataFrame:
 @query(f"select measurement_id, source_id from ({_MEASURED}) m where not exists (select 1 from ({_STATES}) s where s.source_id = m.source_id and s.retired_at is null)")
 def measurements_of_retired(spark: SparkSession, d: str) -> DataFrame:
     """Measurements that a deletion of retired and unknown sources would take along."""
-    alive = _states(spark, d).filter("retired_at is null").select("source_id")
+    alive = _states(spark, d, "retired_at").filter("retired_at is null").select("source_id")
     return _measured(spark, d).select("measurement_id", "source_id").join(alive, "source_id", "left_anti").select("measurement_id", "source_id")
 
 
@@ -127,7 +122,7 @@ def sky_pixels(spark: SparkSession, d: str) -> DataFrame:
 @query(f"select product_id, epoch_us(make_timestamp(cast(round((t_min - 40587) * 86400) as bigint) * 1000000)) // 1000000 as start_s from ({_PRODUCTS}) where t_min is not null")
 def product_times(spark: SparkSession, d: str) -> DataFrame:
     """Start of each product's exposure in whole seconds since 1970."""
-    return _products(spark, d).filter("t_min is not null").select("product_id", F.unix_seconds(F.timestamp_seconds(F.round((F.col("t_min") - 40587) * 86400).cast("bigint"))).alias("start_s"))
+    return _products(spark, d, "t_min").filter("t_min is not null").select("product_id", F.unix_seconds(F.timestamp_seconds(F.round((F.col("t_min") - 40587) * 86400).cast("bigint"))).alias("start_s"))
 
 
 @query("select distinct user_id, event_type from events")
@@ -137,22 +132,7 @@ def stream_distinct_pairs(spark: SparkSession, d: str) -> DataFrame:
     return events.run_to_table(stream, "append")
 
 
-def complete_users(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Emit a user once, when its events reach the number needed."""
-    seen, done = state.get if state.exists else (0, False)
-    seen += sum(len(b) for b in batches)
-    if seen >= COMPLETE and not done:
-        done = True
-        yield pd.DataFrame({"user_id": [key[0]]})
-    state.update((seen, done))
-
-
-COMPLETE = 50
-
-
 @query("select user_id from events group by 1 having count(*) >= 50")
 def stream_completed_users(spark: SparkSession, d: str) -> DataFrame:
-    """Users who reached fifty events, each emitted once by keyed state."""
-    state = T.StructType([T.StructField("seen", T.LongType()), T.StructField("done", T.BooleanType())])
-    out = _events(spark, d).select("user_id", "event_id").groupBy("user_id").applyInPandasWithState(complete_users, "user_id bigint", state, "append", GroupStateTimeout.NoTimeout)
-    return events.run_to_table(out, "append")
+    """Users who reached fifty events, by the stream's own counts."""
+    return events.run_to_table(events.completed(_events(spark, d), "user_id", 50), "complete").select("user_id")

@@ -26,18 +26,18 @@ def query(sql: str | None = None):
     return register
 
 
-def _states(spark: SparkSession, d: str) -> DataFrame:
-    """The last row of each source."""
-    return catalog.latest_states(load(spark, d, "sources"), "source_id", ["last_seen_at", "source_pk"])
+def _states(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    """The last row of each source; of the given columns, which are all that is read, or whole."""
+    t = load(spark, d, "sources")
+    return catalog.latest_states(t.select("source_id", *cols, "last_seen_at", "source_pk") if cols else t, "source_id", ["last_seen_at", "source_pk"])
 
 
 _STATES = "select * from (select *, row_number() over (partition by source_id order by last_seen_at desc nulls last, source_pk desc) as rn from sources where source_id is not null) where rn = 1"
 
 
-def _products(spark: SparkSession, d: str, last: bool = True) -> DataFrame:
-    """One row per product: its last in all snapshots."""
-    cols = ["product_id", "collection", "obs_id", "detector_id", "planning_period", "processing_version", "em_min", "em_max", "t_min", "t_max", "access_estsize", "last_seen_at", "snapshot_row_id"]
-    return upsert.last_per_key(load(spark, d, "discovery_products").select(*cols), ["product_id"], ["last_seen_at", "snapshot_row_id"])
+def _products(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    """The last row of each product in all snapshots, of the given columns."""
+    return upsert.last_per_key(load(spark, d, "discovery_products").select("product_id", *cols, "last_seen_at", "snapshot_row_id"), ["product_id"], ["last_seen_at", "snapshot_row_id"]).select("product_id", *cols)
 
 
 _PRODUCTS = "select * from (select *, row_number() over (partition by product_id order by last_seen_at desc nulls last, snapshot_row_id desc) as rn from discovery_products) where rn = 1"
@@ -86,7 +86,7 @@ select id_a, id_b, round(min(g), 9) as flat_deg from (select a.source_id as id_a
   from p a join p b on a.source_id < b.source_id and abs(a.dec_deg - b.dec_deg) <= 0.02) where g <= 0.02 group by 1, 2""")
 def catalog_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     """Sources whose last positions lie within 72 arcseconds on the flat sky."""
-    return catalog.near_duplicates(_states(spark, d), 0.02).withColumn("flat_deg", F.round("flat_deg", 9))
+    return catalog.near_duplicates(_states(spark, d, "ra_deg", "dec_deg"), 0.02).withColumn("flat_deg", F.round("flat_deg", 9))
 
 
 @query("select catalog_version_id, count(*) as n_rows, cast(sum(cast('0x' || substr(" + _TRIM.format("row_hash") + ", 1, 12) as bigint)) as varchar) as digest from sources group by 1")
@@ -165,31 +165,34 @@ _SNAP = "select product_id, h, v, first_discovered_at, last_seen_at, did from (s
   row_number() over (partition by product_id order by last_seen_at desc, snapshot_row_id desc) as rn from discovery_products where snapshot_no {}) where rn = 1"""
 
 
-def _snapshot(spark: SparkSession, d: str, condition: str) -> DataFrame:
-    t = load(spark, d, "discovery_products").filter(f"snapshot_no {condition}")
+def _snapshot(spark: SparkSession, d: str, last: bool) -> DataFrame:
+    """The last row of each product in the snapshot delivered last, or in those before it."""
+    t = load(spark, d, "discovery_products")
+    number = t.agg(F.max("snapshot_no").alias("n")).select("n").scalar()
+    t = t.filter(F.col("snapshot_no") == number if last else F.col("snapshot_no") < number)
     rows = t.select("product_id", digest_text("row_hash").alias("h"), F.col("processing_version").alias("v"), "first_discovered_at", "last_seen_at", F.col("obs_publisher_did").alias("did"), "snapshot_row_id")
     return upsert.last_per_key(rows, ["product_id"], ["last_seen_at", "snapshot_row_id"]).drop("snapshot_row_id")
 
 
 @query(f"""
-with a as ({_SNAP.format('< 7')}), b as ({_SNAP.format('= 7')})
+with a as ({_SNAP.format('< (select max(snapshot_no) from discovery_products)')}), b as ({_SNAP.format('= (select max(snapshot_no) from discovery_products)')})
 select coalesce(b.product_id, a.product_id) as product_id, case when b.product_id is not null then b.h else a.h end as h, case when b.product_id is not null then b.v else a.v end as v,
   coalesce(a.first_discovered_at, b.first_discovered_at) as first_discovered_at, coalesce(b.last_seen_at, a.last_seen_at) as last_seen_at, coalesce(b.did, a.did) as did, b.product_id is not null as active
 from a full join b using (product_id)""")
 def upsert_products(spark: SparkSession, d: str) -> DataFrame:
     """The last snapshot upserted into all before it: discovery time kept, publisher's id never lost, products no longer listed inactive."""
-    old, new = _snapshot(spark, d, "< 7"), _snapshot(spark, d, "= 7")
+    old, new = _snapshot(spark, d, False), _snapshot(spark, d, True)
     table = upsert.upsert(old, new, ["product_id"], preserve=["first_discovered_at"], coalesce=["did"]).withColumn("active", F.lit(True)).withColumn("retired_at", F.lit(None).cast("timestamp_ntz"))
-    return upsert.retire(table, new, ["product_id"], "active", "retired_at", F.lit("2025-10-20").cast("timestamp_ntz")).drop("retired_at")
+    return upsert.retire(table, new, ["product_id"], "active", "retired_at", F.localtimestamp()).drop("retired_at")
 
 
 @query(f"""
-with a as ({_SNAP.format('< 7')}), b as ({_SNAP.format('= 7')})
+with a as ({_SNAP.format('< (select max(snapshot_no) from discovery_products)')}), b as ({_SNAP.format('= (select max(snapshot_no) from discovery_products)')})
 select count(*) filter (where a.product_id is null) as n_new, count(*) filter (where a.product_id is not null and b.product_id is not null and a.h is distinct from b.h) as n_updated,
   count(*) filter (where a.product_id is not null and b.product_id is not null and a.h is not distinct from b.h) as n_unchanged, count(*) filter (where b.product_id is null) as n_missing
 from a full join b on a.product_id = b.product_id""")
 def upsert_statistics(spark: SparkSession, d: str) -> DataFrame:
-    return upsert.upsert_counts(_snapshot(spark, d, "< 7"), _snapshot(spark, d, "= 7"), ["product_id"], "h")
+    return upsert.upsert_counts(_snapshot(spark, d, False), _snapshot(spark, d, True), ["product_id"], "h")
 
 
 @query("select product_id as key, count(*) as n_rows from (select distinct measurement_id, product_id from measurements) m where product_id is not null and not exists (select 1 from discovery_products p where p.product_id = m.product_id) group by 1")
@@ -251,8 +254,8 @@ def coverage(spark: SparkSession, d: str) -> DataFrame:
     """What covers each source, and what was measured of it."""
     m = _measured(spark, d).select("measurement_id", "source_id", "product_id", "science_recommended", "detection_status")
     links = m.filter("product_id is not null").select("source_id", "product_id").distinct()
-    products = _products(spark, d).select("product_id", "detector_id", "planning_period", "processing_version", "em_min", "em_max", "t_min", "t_max")
-    return reports.coverage(_states(spark, d).select("source_id", "source_name"), links, products, m)
+    products = _products(spark, d, "detector_id", "planning_period", "processing_version", "em_min", "em_max", "t_min", "t_max").select("product_id", "detector_id", "planning_period", "processing_version", "em_min", "em_max", "t_min", "t_max")
+    return reports.coverage(_states(spark, d, "source_name").select("source_id", "source_name"), links, products, m)
 
 
 @query(f"""select photometry_run_id, count(*) as n_measurements, count(distinct source_id) as n_sources, count(*) filter (where detection_status = 'detected') as n_detected, count(*) filter (where science_recommended = 1) as n_science,
@@ -289,7 +292,7 @@ def spectrum_order(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""select product_id, case when access_estsize >= 1073741824 then printf('%.1f GiB', access_estsize / 1073741824.0) when access_estsize >= 1048576 then printf('%.1f MiB', access_estsize / 1048576.0)
   when access_estsize >= 1024 then printf('%.1f KiB', access_estsize / 1024.0) else printf('%d B', access_estsize) end as size_text from ({_PRODUCTS}) where access_estsize is not null""")
 def product_sizes(spark: SparkSession, d: str) -> DataFrame:
-    p = _products(spark, d).filter("access_estsize is not null")
+    p = _products(spark, d, "access_estsize").filter("access_estsize is not null")
     return p.select("product_id", reports.human_bytes(F.col("access_estsize")).alias("size_text"))
 
 
@@ -516,7 +519,7 @@ select product_id, zone, d2 from (select product_id, zone, power(x - zx, 2) + po
 def psf_zones(spark: SparkSession, d: str) -> DataFrame:
     """The nearest point-spread zone of a place on each product's detector."""
     zones = spark.createDataFrame(_ZONES, "detector_id int, zone int, zx double, zy double")
-    places = _products(spark, d).select("product_id", "detector_id", ((F.col("product_id") * 37) % 2040).cast("double").alias("x"), ((F.col("product_id") * 53) % 2040).cast("double").alias("y"))
+    places = _products(spark, d, "detector_id").select("product_id", "detector_id", ((F.col("product_id") * 37) % 2040).cast("double").alias("x"), ((F.col("product_id") * 53) % 2040).cast("double").alias("y"))
     return psf.nearest_zone(places, zones, "product_id")
 
 

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.operators.upsert import last_per_key, upsert
-from skyloom.session import cut_lineage, ensure_checkpoint_dir
+from skyloom.operators.upsert import last_per_key
+from skyloom.session import ensure_checkpoint_dir
 
 
 def event_stream(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -38,33 +37,61 @@ def windowed_counts(stream: DataFrame, width: str, delay: str = "1 day") -> Data
     return stream.withWatermark("ts", delay).groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total"))
 
 
-def run_to_table(stream: DataFrame, mode: str) -> DataFrame:
-    """Run a stream over all that is there now, append its rows to a table in the shared folder and read that."""
-    folder = _folder(stream.sparkSession)
-    out, schema = f"{folder}/rows", stream.schema
-    stream.sparkSession.createDataFrame([], schema).write.mode("overwrite").parquet(out)
+def completed(stream: DataFrame, key: str, n: int) -> DataFrame:
+    """Keys with at least n events, and how many."""
+    return stream.groupBy(key).agg(F.count(F.lit(1)).alias("n_events")).filter(F.col("n_events") >= n)
 
-    def sink(batch: DataFrame, _: int) -> None:
-        batch.write.mode("append" if mode == "append" else "overwrite").parquet(out)
 
-    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
-    return stream.sparkSession.read.schema(schema).parquet(out)
+def _batches(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the micro-batches that were written whole to a folder; a handful of names, read on the driver."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    done = [s.getPath() for s in fs.listStatus(path) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    return sorted(int(p.getName().split("=", 1)[1]) for p in done)
+
 
+def run_to_table(stream: DataFrame, mode: str, folder: str | None = None) -> DataFrame:
+    """Run a stream over all that is there now into a table in the shared folder and read that.
 
-def upsert_stream(stream: DataFrame, keys: list[str], order: list[str], started: Callable[[], None] | None = None) -> DataFrame:
-    """The latest row per key of a stream: every micro-batch is reduced to a row per key and upserted into the table so far."""
-    state: dict[str, DataFrame] = {}
+    Every micro-batch has a folder of its own under its number, so a batch that is tried again takes its own place. In
+    complete mode the last batch is the table. A stream started again in the same folder goes on where it stopped.
+    """
+    spark, folder = stream.sparkSession, folder or _folder(stream.sparkSession)
+    schema = stream.schema
 
-    def sink(batch: DataFrame, _: int) -> None:
-        fresh = last_per_key(batch, keys, order)
-        if "table" in state:
-            old = state["table"]
-            fresh = last_per_key(old.join(fresh.select(*keys), keys, "left_semi").unionByName(fresh), keys, order)
-            fresh = upsert(old, fresh, keys)
-        state["table"] = cut_lineage(fresh)
-        if started:
-            started()
+    def sink(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={n}")
+
+    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
+    numbers = _batches(spark, f"{folder}/rows")
+    if not numbers:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*(f"{folder}/rows/batch={n}" for n in (numbers if mode == "append" else numbers[-1:])))
+
+
+def upsert_stream(stream: DataFrame, keys: list[str], order: list[str], folder: str | None = None, merge_every: int = 16) -> DataFrame:
+    """The latest row per key of a stream.
+
+    Every micro-batch is reduced to a row per key and written under its number; after every ``merge_every`` batches
+    those written since are merged with the table so far into a new one. So a batch costs what it holds, a batch that
+    is tried again takes its own place, and a stream started again in the same folder goes on with its table.
+    """
+    spark, folder = stream.sparkSession, folder or _folder(stream.sparkSession)
+    schema = stream.schema
+
+    def table(before: int) -> DataFrame:
+        bases = [n for n in _batches(spark, f"{folder}/merged") if n < before]
+        base = bases[-1] if bases else -1
+        paths = [f"{folder}/rows/batch={n}" for n in _batches(spark, f"{folder}/rows") if base < n < before] + ([f"{folder}/merged/batch={base}"] if bases else [])
+        rows = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+        return last_per_key(rows, keys, order)
+
+    def sink(batch: DataFrame, n: int) -> None:
+        last_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{folder}/rows/batch={n}")
+        if (n + 1) % merge_every == 0:
+            table(n + 1).write.mode("overwrite").parquet(f"{folder}/merged/batch={n}")
 
-    folder = _folder(stream.sparkSession)
     stream.writeStream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
-    return state["table"] if "table" in state else stream.sparkSession.createDataFrame([], stream.schema)
+    return table(2**62)

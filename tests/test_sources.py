@@ -91,3 +91,61 @@ def test_listing_skips_broken_lines(spark, tmp_path):
     path = tmp_path / "l.json"
     path.write_text("\n".join([json.dumps({"name": "a", "size": "12"}), "{broken", json.dumps({"name": "b", "size": "x"}), json.dumps({"name": "c", "size": "-1"}), json.dumps({"size": "3"})]))
     assert {tuple(r) for r in tables.read_listing(spark, str(path)).collect()} == {("a", 12), ("b", None), ("c", None)}
+
+
+def test_streams_go_on_where_they_stopped(spark, tmp_path):
+    from skyloom.streaming import events
+
+    schema = "k string, at int, v string, ts timestamp"
+    source, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = lambda *r: spark.createDataFrame([(*x, None) for x in r], schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run(merge_every):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        return {tuple(r)[:3] for r in events.upsert_stream(stream, ["k"], ["at"], folder, merge_every).collect()}
+
+    rows(("a", 1, "x"), ("b", 1, "y"))
+    assert run(2) == {("a", 1, "x"), ("b", 1, "y")}
+    for i in range(2, 6):
+        rows(("a", i, f"x{i}"))
+    assert run(2) == {("a", 5, "x5"), ("b", 1, "y")}  # a second start keeps the table and merges it on the way
+    assert events._batches(spark, f"{folder}/merged") == [1, 3] and events._batches(spark, f"{folder}/rows") == [0, 1, 2, 3, 4]
+    rows(("b", 0, "late"))
+    assert run(2) == {("a", 5, "x5"), ("b", 1, "y")}
+
+
+def test_a_batch_tried_again_is_written_once(spark, tmp_path):
+    from skyloom.streaming import events
+
+    source, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([(1,), (2,)], "k int").write.parquet(source)
+    read = lambda: spark.readStream.schema("k int").parquet(source)
+    assert events.run_to_table(read(), "append", folder).count() == 2
+    assert events.run_to_table(read(), "append", folder).count() == 2
+    done = events.completed(spark.readStream.schema("k int").parquet(source), "k", 1)
+    assert {r.k for r in events.run_to_table(done, "complete").collect()} == {1, 2}
+
+
+def test_outputs(spark, tmp_path):
+    m = spark.createDataFrame([("s", "m2", 2.0, "f"), ("s", "m1", 1.0, "f"), ("s", "m3", None, "f"), ("t", "m4", 3.0, "g")], "source_id string, measurement_id string, wavelength_um double, note string")
+    manifest = {r.source_id: (r.n_rows, r.from_um, r.to_um) for r in tables.write_spectra(m, str(tmp_path / "o")).collect()}
+    assert manifest == {"s": (3, 1.0, 2.0), "t": (1, 3.0, 3.0)}
+    part = sorted((tmp_path / "o" / "spectra" / "source_id=s").glob("part-*"))
+    assert len(part) == 1 and [x.split(",")[0] for x in part[0].read_text().splitlines()] == ["measurement_id", "m1", "m2", "m3"]
+    snap = spark.createDataFrame([("a", "v1")], "source_id string, catalog_version_id string")
+    tables.write_snapshot(snap, str(tmp_path / "s"))
+    tables.write_snapshot(snap.selectExpr("'b' as source_id", "'v2' as catalog_version_id"), str(tmp_path / "s"))
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "s" / "versions")).collect()} == {("a", "v1"), ("b", "v2")} and spark.read.parquet(str(tmp_path / "s" / "latest")).count() == 1
+    failures = spark.createDataFrame([(f"2025-01-{i:02d}", f"f{i}") for i in range(1, 20)], "created_at string, reason string")
+    import json
+
+    got = json.loads(tables.summary(manifest_frame(spark), failures, spark.createDataFrame([(5,)], "n int"), 3).first()[0])
+    assert got["counts"] == {"n": 5} and [c["source_id"] for c in got["coverage"]] == ["a", "b", "c"] and [f["reason"] for f in got["failures"]] == ["f19", "f18", "f17"]
+    files = spark.createDataFrame([("p", 5)], "path string, length bigint")
+    held = {r.local_path: (r.file_exists, r.file_size) for r in tables.refreshed(spark.createDataFrame([("p",), ("q",)], "local_path string"), files).collect()}
+    assert held == {"p": (True, 5), "q": (False, None)} and tuple(tables.storage(files).first()) == (1, 5)
+    assert {tuple(r) for r in tables.status_counts(spark.createDataFrame([("x", "passed"), ("y", "passed")], "path string, status string")).collect()} == {("passed", 2)}
+
+
+def manifest_frame(spark):
+    return spark.createDataFrame([(x,) for x in "dacb"], "source_id string")
