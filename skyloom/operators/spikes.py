@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from skyloom.functions.forest import forest_scores
 from skyloom.session import cut_lineage, maybe_broadcast
@@ -92,7 +93,9 @@ class Chunk:
         self.null = {f: t[f].is_null().to_numpy() for f in FIELDS}
         self.value = {f: t[f].fill_null(float("nan")).to_numpy() for f in FIELDS}
         self.length = {f: np.where(self.known, run_lengths(np.where(np.isfinite(v), v, np.where(self.null[f], np.nan, np.inf)), self.run), 0) for f, v in self.value.items()}
-        self.frozen = {f: v >= FROZEN for f, v in self.length.items()}
+        # readings at the ends of a slice of a long run that are frozen together with those of the next slice
+        given = t["frozen_bits"].fill_null(0).to_numpy() if "frozen_bits" in t.column_names else np.zeros(self.n, np.int64)
+        self.frozen = {f: (v >= FROZEN) | ((given >> i & 1) == 1) for i, (f, v) in enumerate(self.length.items())}
         w, c = self.value["wavelength_um"], self.value["chi2_reduced"]
         out = {f: ~np.isfinite(v) & ~self.null[f] for f, v in self.value.items()}
         with np.errstate(invalid="ignore"):
@@ -274,7 +277,41 @@ def usual_fits(sums: DataFrame) -> DataFrame:
     return merged.mapInArrow(_solve_batches, FIT)
 
 
-def score_readings(m: DataFrame, block_rows: int = 4096, flagged_only: bool = False) -> DataFrame:
+def slice_runs(rows: DataFrame, runs: DataFrame, run_rows: int) -> DataFrame:
+    """Rows of long runs with the ``slice`` of time they lie in, and as ``frozen_bits`` the fields in which they are frozen only together with another slice.
+
+    ``runs`` has ``holder, unit, n, low, high`` of the long runs. A run is cut into many equal steps of time, and steps
+    are joined to slices of about ``run_rows`` rows; readings of one instant stay together. Runs of equal values are
+    counted in each slice, and those at the ends of slices are put together from one row per slice, so no task holds
+    more than a slice of one run.
+    """
+    by = ["holder", "unit"]
+    steps = F.ceil(F.col("n") / run_rows) * 16
+    step = F.floor((F.col("created_us") - F.col("low")) / (F.col("high") - F.col("low") + 1) * steps).cast("bigint")
+    # repeated deliveries count once, as they do within a block
+    long = rows.join(runs, by).withColumn("step", step).drop("n", "low", "high").dropDuplicates([*by, "measurement_id", "created_us"])
+    sizes = long.groupBy(*by, "step").count()
+    before = F.sum("count").over(Window.partitionBy(*by).orderBy("step").rowsBetween(Window.unboundedPreceding, -1))
+    slices = sizes.select(*by, "step", F.floor(F.coalesce(before, F.lit(0)) / run_rows).cast("bigint").alias("slice"))
+    long = cut_lineage(long.join(maybe_broadcast(slices), [*by, "step"]).drop("step"))
+    finite = lambda c: ~F.isnan(c) & (F.abs(c) != float("inf"))
+    digits = lambda c: F.when(finite(F.col(c)), F.format_string("%.5e", c)).otherwise("not finite")
+    fields = F.array(*(F.struct(F.lit(i).alias("field"), F.when(F.col(f).isNotNull(), digits(f)).alias("digits")) for i, f in enumerate(FIELDS)))
+    values = long.select(*by, "slice", "created_us", "measurement_id", F.inline(fields)).filter("digits is not null")
+    w = Window.partitionBy(*by, "slice", "field").orderBy("created_us", "measurement_id")
+    values = values.withColumn("fresh", F.when(F.lag("digits").over(w).eqNullSafe(F.col("digits")), 0).otherwise(1)).withColumn("island", F.sum("fresh").over(w))
+    islands = values.groupBy(*by, "slice", "field", "island").agg(F.count(F.lit(1)).alias("size"), F.first("digits").alias("digits"))
+    whole = Window.partitionBy(*by, "slice", "field")
+    ends = islands.withColumn("last", F.max("island").over(whole)).filter("island = 1 or island = last")
+    along = Window.partitionBy(*by, "field").orderBy("slice", "island")
+    goes_on = (F.lag("slice").over(along) != F.col("slice")) & (F.lag("digits").over(along) == F.col("digits"))
+    ends = ends.withColumn("starts", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).withColumn("chain", F.sum("starts").over(along))
+    frozen = ends.withColumn("total", F.sum("size").over(Window.partitionBy(*by, "field", "chain"))).filter(f"total >= {FROZEN} and size < {FROZEN}").select(*by, "slice", "field", "island")
+    bits = values.join(frozen, [*by, "slice", "field", "island"], "left_semi").groupBy(*by, "slice", "created_us", "measurement_id").agg(F.sum(F.pow(F.lit(2), F.col("field")).cast("bigint")).alias("frozen_bits"))
+    return long.join(bits, [*by, "slice", "created_us", "measurement_id"], "left")
+
+
+def score_readings(m: DataFrame, block_rows: int = 4096, flagged_only: bool = False, run_rows: int = 50_000) -> DataFrame:
     """``measurement_id, source_id, field_name, value, score, scatters, reason`` of every not-null reading of FIELDS: its forest score, its distance from the usual in scatters, and the reason it is wrong.
 
     ``m`` has ``measurement_id, source_id, photometry_run_id, created_us`` and FIELDS; other columns are ignored. Rows
@@ -283,16 +320,25 @@ def score_readings(m: DataFrame, block_rows: int = 4096, flagged_only: bool = Fa
     ``outlier`` (flux and chi2 of sources with at least 20 distinct readings: a candidate of the forest that is further
     than ten scatters from the source's curve over wavelength, or its mean). Flux without a usable wavelength is no
     outlier. Readings without a source are judged by limits only. A null run counts as one run. An empty table has no
-    rows. With ``flagged_only`` only readings with a reason come out.
+    rows. With ``flagged_only`` only readings with a reason come out. Sources of more than ``block_rows`` readings are
+    split by run into blocks, and runs of more than ``run_rows`` by time.
     """
     rows = m.select("measurement_id", "source_id", "photometry_run_id", F.col("created_us").cast("bigint").alias("created_us"), *(F.col(f).cast("double").alias(f) for f in FIELDS))
     # readings without a source are shared out like those of one large source
     rows = rows.withColumn("holder", F.when(F.col("source_id").isNull(), "?").otherwise(F.concat(F.lit("="), "source_id")))
     large = maybe_broadcast(rows.groupBy("holder").count().filter(F.col("count") > block_rows).select("holder", F.ceil(F.col("count") / block_rows).alias("blocks")))
-    unit = F.when(F.col("source_id").isNull(), F.col("measurement_id")).otherwise(F.col("photometry_run_id"))
+    unit = F.when(F.col("source_id").isNull(), F.concat(F.lit("m"), "measurement_id")).when(F.col("photometry_run_id").isNull(), "?").otherwise(F.concat(F.lit("="), "photometry_run_id"))
+    rows = rows.withColumn("unit", unit)
     order = ["source_id", "block", "photometry_run_id", "created_us", "measurement_id"]
-    blocked = rows.join(large, "holder", "left").withColumn("block", F.pmod(F.xxhash64(unit), F.coalesce("blocks", F.lit(1))).cast("bigint"))
-    blocked = blocked.select(*order, *FIELDS).withColumn("seed", F.xxhash64("source_id", "block"))
+    cols = [*order, *FIELDS, "frozen_bits"]
+    runs = maybe_broadcast(rows.join(large, "holder").filter("source_id is not null").groupBy("holder", "unit").agg(F.count(F.lit(1)).alias("n"), F.min("created_us").alias("low"), F.max("created_us").alias("high")).filter(F.col("n") > run_rows))
+    short = rows.join(large, "holder", "left").withColumn("block", F.pmod(F.xxhash64("unit"), F.coalesce("blocks", F.lit(1))).cast("bigint")).withColumn("frozen_bits", F.lit(None).cast("bigint"))
+    if runs.isEmpty():
+        blocked = short.select(*cols)
+    else:
+        sliced = slice_runs(rows, runs, run_rows).withColumn("block", F.xxhash64("unit", "slice"))
+        blocked = short.join(runs, ["holder", "unit"], "left_anti").select(*cols).unionByName(sliced.select(*cols))
+    blocked = blocked.withColumn("seed", F.xxhash64("source_id", "block"))
     # flagged readings, candidates and sums are far fewer than the readings, and are read three times
     parts = blocked.repartition("source_id", "block").sortWithinPartitions(*order).mapInArrow(_judge_batches(flagged_only), PARTS)
     parts = cut_lineage(parts)

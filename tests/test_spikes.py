@@ -69,6 +69,31 @@ def test_large_sources_in_blocks_give_the_same(spark):
     assert sum(k[0].startswith("huge") for k in one) == 30
 
 
+def test_long_runs_in_slices_give_the_same(spark):
+    """One source with one run of most readings, frozen stretches across the ends of slices, nulls among them, repeats and ties in time."""
+    rng = random.Random(21)
+    rows, _ = planted(rng)
+    more = readings(rng, "long", 900, 800.0, 10.0, runs=1)
+    for i in range(0, 900, 60):
+        more[i][5] += 500
+    for start in range(30, 880, 47):
+        for i in range(start, start + 5):
+            more[i][6] = 1.3 + start * 1e-4
+        more[start + 2][6] = None if start % 2 else more[start + 2][6]
+    for i in range(400, 440):
+        more[i][4] = 2.5
+    for r in more[100:110]:
+        r[3] = more[100][3]
+    null_run = [[*r[:2], None, *r[3:]] for r in readings(rng, "norun", 300, 5.0, 0.1)]
+    everything = rows + more + null_run + more[50:80]
+    one = found(spark, everything)
+    assert sum(v == "frozen" for v in one.values()) > 60
+    by_rule = lambda d: {k: v for k, v in d.items() if v != "outlier"}
+    for run_rows in (13, 64):
+        assert by_rule(found(spark, everything, block_rows=10, run_rows=run_rows)) == by_rule(one)
+    assert found(spark, everything, block_rows=250, run_rows=250) == one
+
+
 def test_empty_null_source_and_constant_source(spark):
     assert found(spark, []) == {}
     rows = [[f"n{i}", None, None, None, 9.0 if i == 1 else 2.0, 1e9, -1.0 if i == 2 else 1.0, "", 1] for i in range(30)]
