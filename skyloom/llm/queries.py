@@ -5,9 +5,10 @@ from __future__ import annotations
 import unicodedata
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyloom.llm import lookalikes, packing, tokens
-from skyloom.session import load
+from skyloom.session import cut_lineage, load
 
 CAPACITY = 2048
 
@@ -20,6 +21,15 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(tokens.token_counts(load(spark, d, "documents")), CAPACITY)
 
 
+def p8_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the containers: every document is placed, none overfull, and only what is longer than a container is split."""
+    out = cut_lineage(p8_containers(spark, d))
+    fill = out.groupBy("container_id").agg(F.sum("n_tokens").alias("n")).agg(F.count_if(F.col("n") > CAPACITY).alias("n_overfull"))
+    docs = out.groupBy("doc_id").agg(F.count(F.lit(1)).alias("parts"), F.sum("n_tokens").alias("n"), F.count_distinct("part").alias("distinct_parts"))
+    split = docs.agg(F.count(F.lit(1)).alias("n_documents"), F.count_if(F.col("parts") > F.greatest(F.ceil(F.col("n") / CAPACITY), F.lit(1))).alias("n_split_without_need"), F.count_if(F.col("parts") != F.col("distinct_parts")).alias("n_parts_twice"))
+    return split.withColumn("n_overfull", fill.select("n_overfull").scalar())
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.lookalike_pairs(load(spark, d, "documents"))
 
@@ -29,7 +39,7 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.uniform_texts(load(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p8_containers, p9_found, p9_forms)}
+QUERIES = {f.__name__: f for f in (p7_ids, p8_containers, p8_invariants, p9_found, p9_forms)}
 
 # the SQL form of the mapping: one letter for another, wide and narrow forms beside the plain ones
 _FROM, _TO = "".join(lookalikes.LOOKALIKES), "".join(lookalikes.LOOKALIKES.values())
@@ -51,6 +61,7 @@ def _sql_form() -> str:
 
 
 SQL = {
+    "p8_invariants": "select count(distinct doc_id) as n_documents, 0 as n_split_without_need, 0 as n_parts_twice, 0 as n_overfull from documents",
     "p9_forms": f"select doc_id, {_sql_form()} as form from documents",
     "p9_found": f"""
 with f as (select doc_id, text, {_sql_form()} as form from documents where text is not null)
