@@ -17,6 +17,20 @@ def best_products(calibrations: DataFrame) -> DataFrame:
     return kept.groupBy("release", "calibration_type", "detector_id", "validated_at").agg(F.min(F.struct("calibration_id", "local_path")).alias("b")).select("release", "calibration_type", "detector_id", "validated_at", "b.*")
 
 
+def best_for_dates(needed: DataFrame, calibrations: DataFrame) -> DataFrame:
+    """The product of each ``release, calibration_type, detector_id, processing_date`` that is needed: of the same date if there is one, then the one validated last, then the smaller id.
+
+    ``calibrations`` has ``calibration_date`` beside its own columns; those not validated don't count. What has no product comes out without one.
+    """
+    keys = ["release", "calibration_type", "detector_id"]
+    valid = calibrations.filter("validated_at is not null").select(*keys, "calibration_id", "calibration_date", "validated_at")
+    met = needed.distinct().join(valid, keys, "left")
+    other = F.when(F.col("calibration_date").eqNullSafe(F.col("processing_date")), 0).otherwise(1)
+    # a larger time comes first, so the best is the largest of what is turned around in the others
+    best = F.min_by("calibration_id", F.struct(other, -F.unix_micros(F.col("validated_at").cast("timestamp")), F.col("calibration_id")))
+    return met.groupBy(*keys, "processing_date").agg(best.alias("calibration_id"))
+
+
 def required(detectors: DataFrame, types: Sequence[str], release: str) -> DataFrame:
     """Every detector with every needed type; the types are a short list from the settings."""
     return detectors.select("detector_id", F.explode(F.array(*map(F.lit, types))).alias("calibration_type")).withColumn("release", F.lit(release))

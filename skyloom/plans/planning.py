@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions.identity import stable_hash, texts
-from skyloom.operators import calibration, catalog, discovery, ordering, planning, rejects, selection
-from skyloom.plans.reference import _ID, _MEASURED, _PRODUCTS, _STATES, _measured, _products, _states
+from skyloom.operators import calibration, catalog, discovery, ordering, planning, rejects, selection, upsert
+from skyloom.plans.reference import _ID, _MEASURED, _PRODUCTS, _STATES, _events, _measured, _products, _states
 from skyloom.session import load
+from skyloom.streaming import events
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -246,6 +247,45 @@ def match_states(spark: SparkSession, d: str) -> DataFrame:
     return planning.upsert_matches(old, m.filter("science_recommended = 1").select("source_id", "product_id", F.col("created_at").alias("last_seen_at")))
 
 
+@query("""with c as (select *, strftime(validated_at, '%Y%m%d') as calibration_date from calibration_products where validated_at is not null),
+need as (select distinct d.detector_id, d.processing_date, k.release, k.calibration_type from (select distinct detector_id, replace(processing_date, '-', '') as processing_date from discovery_products) d, (select distinct release, calibration_type from calibration_products) k)
+select release, calibration_type, detector_id, processing_date, calibration_id from (select need.*, c.calibration_id,
+  row_number() over (partition by need.release, need.calibration_type, need.detector_id, need.processing_date order by (calibration_date is distinct from need.processing_date), validated_at desc, c.calibration_id) as rn
+from need left join c on c.release = need.release and c.calibration_type = need.calibration_type and c.detector_id = need.detector_id) where rn = 1""")
+def calibrations_for_dates(spark: SparkSession, d: str) -> DataFrame:
+    """The calibration of every kind for each detector and processing date."""
+    t = load(spark, d, "calibration_products")
+    kinds = t.agg(F.collect_set(F.struct("release", "calibration_type")).alias("k")).select("k").scalar()  # a short list from the settings
+    dates = load(spark, d, "discovery_products").select("detector_id", F.replace("processing_date", F.lit("-"), F.lit("")).alias("processing_date")).distinct()
+    needed = dates.withColumn("k", F.explode(kinds)).select("detector_id", "processing_date", "k.*")
+    return calibration.best_for_dates(needed, t.withColumn("calibration_date", F.date_format("validated_at", "yyyyMMdd")))
+
+
+@query("""with b as (select distinct release, calibration_type, detector_id from calibration_products where validated_at is not null)
+select n.release, n.calibration_type, n.detector_id from (select distinct 'r9' as release, calibration_type, detector_id from calibration_products union select distinct release, calibration_type, detector_id from calibration_products) n
+where not exists (select 1 from b where b.release = n.release and b.calibration_type = n.calibration_type and b.detector_id = n.detector_id)""")
+def missing_calibrations(spark: SparkSession, d: str) -> DataFrame:
+    """Combinations of release, kind and detector without a valid product, those of a release to come included."""
+    t = load(spark, d, "calibration_products").select("release", "calibration_type", "detector_id")
+    needed = t.unionByName(t.withColumn("release", F.lit("r9"))).distinct()
+    return calibration.missing(needed, calibration.best_products(load(spark, d, "calibration_products")))
+
+
+@query("select source_id as key, count(*) as n_rows from (select distinct measurement_id, source_id from measurements) m where source_id is not null and not exists (select 1 from (" + _STATES + ") s where s.source_id = m.source_id and s.retired_at is null) group by 1")
+def orphan_measurements(spark: SparkSession, d: str) -> DataFrame:
+    """Sources of measurements that are not, or no longer, in the catalogue."""
+    m = load(spark, d, "measurements").select("measurement_id", "source_id").distinct()
+    return upsert.missing_parents(m, _states(spark, d, "retired_at").filter("retired_at is null"), "source_id", "source_id")
+
+
+@query("select event_id, user_id, event_type from events")
+def stream_without_repeats(spark: SparkSession, d: str) -> DataFrame:
+    """Events of a stream that delivers its file twice, each once."""
+    stream = _events(spark, d).select("event_id", "user_id", "event_type", "ts")
+    once = events.without_repeats(stream.union(stream), "event_id", "400 days")
+    return events.run_to_table(once.select("event_id", "user_id", "event_type"), "append")
+
+
 # ---- records of catalogue drops: reading them and taking them into the table of sources
 
 _FIELD = '("(?:[^"]|"")*"|[^",]*),'
