@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-TREES, SAMPLE, DEPTH = 40, 24, 6
+TREES, SAMPLE, DEPTH = 64, 24, 6
 INNER = 2**DEPTH - 1  # nodes that may split; below them lie 2 ** DEPTH more
 MARGIN = 1.0  # cuts are drawn from the sample's extremes widened by so many times their distance, so that readings outside of the sample are isolated too
 

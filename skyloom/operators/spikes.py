@@ -33,7 +33,7 @@ FROZEN = 5  # readings in a row
 SCATTERS = 10.0
 LEAST = 20  # distinct readings of a source
 TERMS = 5  # of the curve over wavelength
-ORDINARY = 0.36  # readings with a lower score are ordinary
+ORDINARY = 0.35  # readings with a lower score are ordinary
 POWERS = 2 * TERMS - 1
 SUMS = POWERS + TERMS + 1  # of the powers of wavelength, of their products with the value, and of its square
 PARTS = "source_id string, block bigint, measurement_id string, field_name string, value double, wavelength double, score double, reason string, n bigint, sums array<double>"
