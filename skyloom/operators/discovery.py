@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyloom.functions.identity import json_real, json_text, json_whole, stable_hash, texts
 from skyloom.functions.scalars import trimmed
 
-# Patterns of the parts of a product's file name.
+# Patterns of the parts of a product's file name; digits are spelt out, since what counts as one differs between engines.
 DETECTOR = (r"(?i)(?:^|[_-])(?:D|[0-9]D)([1-6])(?:[_\-.]|$)", r"(?i)D([1-6])")
 PERIOD = r"([0-9]{4}W[0-9]{2}[_-][A-Za-z0-9]+)"
 VERSION = (r"(?i)(l2[ab]-v[^_\s]+)", r"(?i)(v[0-9]+(?:[.-][0-9]+)*)")

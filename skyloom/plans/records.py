@@ -24,16 +24,21 @@ def query(sql: str):
     return register
 
 
-@query(r"""
-select calibration_id, case when regexp_matches(lower(local_path), 'spectral_wcs|cwave|cband') then 'spectral_wcs' when regexp_matches(lower(local_path), 'solid_angle|sapm') then 'solid_angle_pixel_map' end as kind,
-  try_cast(coalesce(nullif(regexp_extract(local_path, '(?i)(?:^|[/_.-])D([1-6])(?:[/_.-]|$)', 1), ''), nullif(regexp_extract(local_path, '(?i)det(?:ector)?[_-]?([1-6])', 1), '')) as integer) as detector,
-  replace(nullif(regexp_extract(local_path, '([0-9]{4}[-_][0-9]{3}|[0-9]{8})', 1), ''), '_', '-') as date from calibration_products""")
+# Patterns of a calibration's kind, detector and date in its path.
+SPECTRAL, SOLID_ANGLE = "spectral_wcs|cwave|cband", "solid_angle|sapm"
+PATH_DETECTOR = (r"(?i)(?:^|[/_.-])D([1-6])(?:[/_.-]|$)", r"(?i)det(?:ector)?[_-]?([1-6])")
+PATH_DATE = discovery.DATE
+
+
+@query(f"""
+select calibration_id, case when regexp_matches(lower(local_path), '{SPECTRAL}') then 'spectral_wcs' when regexp_matches(lower(local_path), '{SOLID_ANGLE}') then 'solid_angle_pixel_map' end as kind,
+  try_cast(coalesce(nullif(regexp_extract(local_path, '{PATH_DETECTOR[0]}', 1), ''), nullif(regexp_extract(local_path, '{PATH_DETECTOR[1]}', 1), '')) as integer) as detector,
+  replace(nullif(regexp_extract(local_path, '{PATH_DATE}', 1), ''), '_', '-') as date from calibration_products""")
 def calibration_paths(spark: SparkSession, d: str) -> DataFrame:
     """Kind, detector and date of calibration files from their paths."""
     c = F.col("local_path")
-    kind = F.when(F.lower(c).rlike("spectral_wcs|cwave|cband"), "spectral_wcs").when(F.lower(c).rlike("solid_angle|sapm"), "solid_angle_pixel_map")
-    # Patterns of a detector in a path.
-    detector = discovery.first_match(c, r"(?i)(?:^|[/_.-])D([1-6])(?:[/_.-]|$)", r"(?i)det(?:ector)?[_-]?([1-6])").cast("int")
+    kind = F.when(F.lower(c).rlike(SPECTRAL), "spectral_wcs").when(F.lower(c).rlike(SOLID_ANGLE), "solid_angle_pixel_map")
+    detector = discovery.first_match(c, *PATH_DETECTOR).cast("int")
     return load(spark, d, "calibration_products").select("calibration_id", kind.alias("kind"), detector.alias("detector"), F.translate(discovery.first_match(c, discovery.DATE), "_", "-").alias("date"))
 
 
