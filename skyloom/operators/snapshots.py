@@ -29,16 +29,15 @@ def validity_intervals(df: DataFrame, key: Column, snapshot: str, state: dict[st
     """
     # one number per delivery, sent as a scalar; deliveries are periodic, so the list stays short
     delivered = df.agg(F.array_sort(F.collect_set(snapshot)).alias("numbers")).select("numbers").scalar()
-    rows = _one_per_snapshot(df, key, snapshot, state, order).withColumn("delivered", delivered)
-    rows = rows.withColumn("ord", F.array_position("delivered", F.col("snap")).cast("int"))
+    # rows carry the ordinal alone through the shuffle by key
+    rows = _one_per_snapshot(df, key, snapshot, state, order).withColumn("ord", F.array_position(delivered, F.col("snap")).cast("int")).drop("snap")
     w = Window.partitionBy("key").orderBy("ord")
     same = F.lag("ord").over(w) == F.col("ord") - 1
     for k in state:
         same = same & F.lag(f"s_{k}").over(w).eqNullSafe(F.col(f"s_{k}"))
     islands = rows.withColumn("starts", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).withColumn("island", F.sum("starts").over(w))
-    return islands.groupBy("key", "island").agg(
-        F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"), *(F.first(f"s_{k}").alias(f"s_{k}") for k in state), F.first("delivered").alias("delivered")
-    )
+    out = islands.groupBy("key", "island").agg(F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"), *(F.first(f"s_{k}").alias(f"s_{k}") for k in state))
+    return out.withColumn("delivered", delivered)
 
 
 def change_events(intervals: DataFrame) -> DataFrame:
