@@ -289,7 +289,8 @@ def slice_runs(rows: DataFrame, runs: DataFrame, run_rows: int) -> DataFrame:
     steps = F.ceil(F.col("n") / run_rows) * 16
     step = F.floor((F.col("created_us") - F.col("low")) / (F.col("high") - F.col("low") + 1) * steps).cast("bigint")
     # repeated deliveries count once, as they do within a block
-    long = rows.join(runs, by).withColumn("step", step).drop("n", "low", "high").dropDuplicates([*by, "measurement_id", "created_us"])
+    # readings without a time come before all others; names and times as they are joined are never null
+    long = rows.join(runs, by).withColumns({"step": F.coalesce(step, F.lit(-1)), "at": F.coalesce("created_us", F.lit(-(2**62))), "name": F.coalesce("measurement_id", F.lit(""))}).drop("n", "low", "high").dropDuplicates([*by, "name", "at"])
     sizes = long.groupBy(*by, "step").count()
     before = F.sum("count").over(Window.partitionBy(*by).orderBy("step").rowsBetween(Window.unboundedPreceding, -1))
     slices = sizes.select(*by, "step", F.floor(F.coalesce(before, F.lit(0)) / run_rows).cast("bigint").alias("slice"))
@@ -297,8 +298,8 @@ def slice_runs(rows: DataFrame, runs: DataFrame, run_rows: int) -> DataFrame:
     finite = lambda c: ~F.isnan(c) & (F.abs(c) != float("inf"))
     digits = lambda c: F.when(finite(F.col(c)), F.format_string("%.5e", c)).otherwise("not finite")
     fields = F.array(*(F.struct(F.lit(i).alias("field"), F.when(F.col(f).isNotNull(), digits(f)).alias("digits")) for i, f in enumerate(FIELDS)))
-    values = long.select(*by, "slice", "created_us", "measurement_id", F.inline(fields)).filter("digits is not null")
-    w = Window.partitionBy(*by, "slice", "field").orderBy("created_us", "measurement_id")
+    values = long.select(*by, "slice", "at", "name", F.inline(fields)).filter("digits is not null")
+    w = Window.partitionBy(*by, "slice", "field").orderBy("at", "name")
     values = values.withColumn("fresh", F.when(F.lag("digits").over(w).eqNullSafe(F.col("digits")), 0).otherwise(1)).withColumn("island", F.sum("fresh").over(w))
     islands = values.groupBy(*by, "slice", "field", "island").agg(F.count(F.lit(1)).alias("size"), F.first("digits").alias("digits"))
     whole = Window.partitionBy(*by, "slice", "field")
@@ -307,8 +308,8 @@ def slice_runs(rows: DataFrame, runs: DataFrame, run_rows: int) -> DataFrame:
     goes_on = (F.lag("slice").over(along) != F.col("slice")) & (F.lag("digits").over(along) == F.col("digits"))
     ends = ends.withColumn("starts", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).withColumn("chain", F.sum("starts").over(along))
     frozen = ends.withColumn("total", F.sum("size").over(Window.partitionBy(*by, "field", "chain"))).filter(f"total >= {FROZEN} and size < {FROZEN}").select(*by, "slice", "field", "island")
-    bits = values.join(frozen, [*by, "slice", "field", "island"], "left_semi").groupBy(*by, "slice", "created_us", "measurement_id").agg(F.sum(F.pow(F.lit(2), F.col("field")).cast("bigint")).alias("frozen_bits"))
-    return long.join(bits, [*by, "slice", "created_us", "measurement_id"], "left")
+    bits = values.join(frozen, [*by, "slice", "field", "island"], "left_semi").groupBy(*by, "slice", "at", "name").agg(F.sum(F.pow(F.lit(2), F.col("field")).cast("bigint")).alias("frozen_bits"))
+    return long.join(bits, [*by, "slice", "at", "name"], "left").drop("at", "name")
 
 
 def score_readings(m: DataFrame, block_rows: int = 4096, flagged_only: bool = False, run_rows: int = 50_000) -> DataFrame:
@@ -325,13 +326,15 @@ def score_readings(m: DataFrame, block_rows: int = 4096, flagged_only: bool = Fa
     """
     rows = m.select("measurement_id", "source_id", "photometry_run_id", F.col("created_us").cast("bigint").alias("created_us"), *(F.col(f).cast("double").alias(f) for f in FIELDS))
     # readings without a source are shared out like those of one large source
-    rows = rows.withColumn("holder", F.when(F.col("source_id").isNull(), "?").otherwise(F.concat(F.lit("="), "source_id")))
-    large = maybe_broadcast(rows.groupBy("holder").count().filter(F.col("count") > block_rows).select("holder", F.ceil(F.col("count") / block_rows).alias("blocks")))
-    unit = F.when(F.col("source_id").isNull(), F.concat(F.lit("m"), "measurement_id")).when(F.col("photometry_run_id").isNull(), "?").otherwise(F.concat(F.lit("="), "photometry_run_id"))
-    rows = rows.withColumn("unit", unit)
+    by_id = F.concat(F.lit("m"), "measurement_id")
+    run = F.when(F.col("photometry_run_id").isNull(), "?").otherwise(F.concat(F.lit("="), "photometry_run_id"))
+    lost = F.col("source_id").isNull()
+    rows = rows.withColumns({"holder": F.when(lost, "?").otherwise(F.concat(F.lit("="), "source_id")), "unit": F.when(lost, by_id).otherwise(run)})
+    counted = cut_lineage(rows.groupBy("holder", F.when(lost, "?").otherwise(F.col("unit")).alias("unit")).agg(F.count(F.lit(1)).alias("n"), F.min("created_us").alias("low"), F.max("created_us").alias("high")))
+    large = maybe_broadcast(counted.groupBy("holder").agg(F.sum("n").alias("n")).filter(F.col("n") > block_rows).select("holder", F.ceil(F.col("n") / block_rows).alias("blocks")))
+    runs = maybe_broadcast(counted.filter((F.col("holder") != "?") & (F.col("n") > run_rows)))
     order = ["source_id", "block", "photometry_run_id", "created_us", "measurement_id"]
     cols = [*order, *FIELDS, "frozen_bits"]
-    runs = maybe_broadcast(rows.join(large, "holder").filter("source_id is not null").groupBy("holder", "unit").agg(F.count(F.lit(1)).alias("n"), F.min("created_us").alias("low"), F.max("created_us").alias("high")).filter(F.col("n") > run_rows))
     short = rows.join(large, "holder", "left").withColumn("block", F.pmod(F.xxhash64("unit"), F.coalesce("blocks", F.lit(1))).cast("bigint")).withColumn("frozen_bits", F.lit(None).cast("bigint"))
     if runs.isEmpty():
         blocked = short.select(*cols)

@@ -84,6 +84,7 @@ def test_long_runs_in_slices_give_the_same(spark):
         more[i][4] = 2.5
     for r in more[100:110]:
         r[3] = more[100][3]
+    more[300][3] = more[301][3] = None
     null_run = [[*r[:2], None, *r[3:]] for r in readings(rng, "norun", 300, 5.0, 0.1)]
     everything = rows + more + null_run + more[50:80]
     one = found(spark, everything)
