@@ -35,7 +35,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder named in spark.checkpoint.dir; only where it is unset, and on one machine, make one of our own."""
     if spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir() is not None:
         return
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="skyloom-checkpoint-"))
 
