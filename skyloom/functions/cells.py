@@ -37,12 +37,12 @@ def level_of(radius_deg: Column) -> Column:
 
 
 # every byte with a zero bit after each of its bits
-_SPREAD = [sum(((b >> k) & 1) << (2 * k) for k in range(8)) for b in range(256)]
+_SPREAD = "array({})".format(", ".join(f"{sum(((b >> k) & 1) << (2 * k) for k in range(8))}L" for b in range(256)))
 
 
 def _spread(c: Column) -> Column:
     """The bits of a number below 2 ** 24, each followed by a zero bit."""
-    table = F.array(*(F.lit(x).cast("bigint") for x in _SPREAD))
+    table = F.expr(_SPREAD)
     byte = lambda k: F.get(table, F.shiftright(c, 8 * k).bitwiseAND(F.lit(255)).cast("int"))
     return byte(0).bitwiseOR(F.shiftleft(byte(1), 16)).bitwiseOR(F.shiftleft(byte(2), 32))
 
